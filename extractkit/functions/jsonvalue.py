@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The characters JSON allows around values.
+JSON_SPACE = " \t\n\r"
+
 
 def parse_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add one VARIANT column per entry; null where the text is not exactly one JSON value.
@@ -45,28 +48,37 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
+def is_object_text(value: Column, text: Column) -> Column:
+    """Whether ``text``, parsed to ``value``, is an object: decided by its first character."""
+    return value.isNotNull() & F.ltrim(text, F.lit(JSON_SPACE)).startswith("{")
+
+
 def is_object(value: Column) -> Column:
+    """The same for a VARIANT whose text is not at hand; costs a walk over the value."""
     return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
 
 
-def canonical_text(value: Column) -> Column:
-    """JSON text in which equal values are equal text: keys sorted, 1.0 and 1e0 written as 1."""
-    text = F.to_json(value)
+def is_empty_object_text(text: Column) -> Column:
+    return text.rlike(rf"^[{JSON_SPACE}]*\{{[{JSON_SPACE}]*\}}[{JSON_SPACE}]*$")
+
+
+def canonical(text: Column) -> Column:
+    """Compact JSON text with numbers written one way: 1.0 and 1e0 become 1."""
     number = text.try_cast("double")
     whole = (F.abs(number) < F.lit(float(2**53))) & (number == F.floor(number).cast("double"))
     plain = F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string"))
     return F.when(text.rlike(r"^-?[0-9]+(\.0+$|(\.[0-9]+)?[eE])"), plain).otherwise(text)
 
 
-def comparable_text(value: Column) -> Column:
-    """``canonical_text`` with JSON null as SQL null, so missing and null compare alike."""
-    return F.nullif(canonical_text(value), F.lit("null"))
+def same_text(a: Column, b: Column) -> Column:
+    """Equality of two compact JSON texts, missing (SQL null) equal to JSON null."""
+    a, b = F.coalesce(a, F.lit("null")), F.coalesce(b, F.lit("null"))
+    return (a == b) | (canonical(a) == canonical(b))
 
 
-def is_truthy(value: Column) -> Column:
-    """False for null, false, zero, and empty text, list or object."""
-    text = canonical_text(value)
-    return F.coalesce(~text.isin("null", "false", "0", '""', "[]", "{}"), F.lit(False))
+def is_truthy_text(text: Column) -> Column:
+    """False for missing, null, false, zero, and empty text, list or object."""
+    return F.coalesce(~canonical(text).isin("null", "false", "0", '""', "[]", "{}"), F.lit(False))
 
 
 def object_depth(text: Column) -> Column:
@@ -81,7 +93,7 @@ def object_depth(text: Column) -> Column:
         now = acc["now"] + F.when(mark == "{", 1).otherwise(-1)
         return F.struct(now.alias("now"), F.greatest(acc["top"], now).alias("top"))
 
-    return F.when(braces <= 2, braces).otherwise(F.aggregate(marks, begin, step, lambda acc: acc["top"]))
+    return F.when(braces <= 3, braces).otherwise(F.aggregate(marks, begin, step, lambda acc: acc["top"]))
 
 
 def flatten_leaves(value: Column, depth: Column) -> Column:
@@ -114,25 +126,27 @@ def flatten_leaves(value: Column, depth: Column) -> Column:
 
     rounds = F.array_repeat(F.lit(0), (depth - 1).cast("int"))
     leaves = F.aggregate(rounds, top, lambda acc, _: open_objects(acc))
+    texts = F.transform(
+        leaves, lambda leaf: F.struct(leaf["path"].alias("path"), F.to_json(leaf["v"]).alias("text"))
+    )
     return F.map_from_entries(
         F.transform(
-            leaves,
+            texts,
             lambda leaf: F.struct(
                 leaf["path"].alias("path"),
-                F.struct(type_class(leaf["v"]).alias("type"), canonical_text(leaf["v"]).alias("value")).alias("leaf"),
+                F.struct(type_class(leaf["text"]).alias("type"), canonical(leaf["text"]).alias("value")).alias("leaf"),
             ),
         )
     )
 
 
-def type_class(value: Column) -> Column:
-    """One of object, array, string, boolean, null, number."""
-    head = F.substring(F.to_json(value), 1, 1)
+def type_class(text: Column) -> Column:
+    """One of object, array, string, boolean, null, number, from compact JSON text."""
     return (
-        F.when(head == "{", "object")
-        .when(head == "[", "array")
-        .when(head == '"', "string")
-        .when(head.isin("t", "f"), "boolean")
-        .when(head == "n", "null")
+        F.when(text.startswith('"'), "string")
+        .when(text.isin("true", "false"), "boolean")
+        .when(text == "null", "null")
+        .when(text.startswith("["), "array")
+        .when(text.startswith("{"), "object")
         .otherwise("number")
     )

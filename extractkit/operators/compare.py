@@ -25,7 +25,7 @@ def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the path -> leaf map of the object in ``text``; null when it holds no JSON object."""
     df = J.parse_columns(df, {f"__{out}_value": F.col(text)})
     value = F.col(f"__{out}_value")
-    leaves = F.when(J.is_object(value), J.flatten_leaves(value, J.object_depth(F.col(text))))
+    leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, J.object_depth(F.col(text))))
     return df.withColumn(out, leaves).drop(f"__{out}_value")
 
 

@@ -17,19 +17,19 @@ QUICK_MAX_EXAMPLES = 10
 
 def parse_gold(gold: DataFrame, key: str = "id") -> DataFrame:
     """key, gold (VARIANT), gold_ok: parses, and is a non-empty object."""
-    parsed = J.parse_columns(gold.select(key, "completion"), {"gold": F.coalesce("completion", F.lit(""))})
-    return parsed.select(key, "gold", _usable(F.col("gold")).alias("gold_ok"))
+    return _parsed(gold.select(key, F.coalesce("completion", F.lit("")).alias("__text")), key, "gold")
 
 
 def parse_predictions(predictions: DataFrame, key: str = "id") -> DataFrame:
     """key, pred (VARIANT), pred_ok, from the greedy JSON block of ``raw_output``."""
-    blocks = predictions.select(key, json_block_greedy(F.coalesce("raw_output", F.lit(""))).alias("__block"))
-    parsed = J.parse_columns(blocks, {"pred": F.col("__block")})
-    return parsed.select(key, "pred", _usable(F.col("pred")).alias("pred_ok"))
+    block = json_block_greedy(F.coalesce("raw_output", F.lit("")))
+    return _parsed(predictions.select(key, block.alias("__text")), key, "pred")
 
 
-def _usable(value: Column) -> Column:
-    return J.is_object(value) & (F.to_json(value) != "{}")
+def _parsed(texts: DataFrame, key: str, name: str) -> DataFrame:
+    text = F.col("__text")
+    usable = J.is_object_text(F.col(name), text) & ~J.is_empty_object_text(text)
+    return J.parse_columns(texts, {name: text}).select(key, name, usable.alias(f"{name}_ok"))
 
 
 def pair_gold_pred(gold: DataFrame, predictions: DataFrame, key: str = "id") -> DataFrame:
@@ -44,24 +44,27 @@ def score_rows(paired: DataFrame) -> DataFrame:
     Missing and null are the same on either side. A damage value that is neither an object nor
     empty matches nothing.
     """
-    gold, pred = F.col("gold"), F.col("pred")
-    usable = _damage_usable(gold) & _damage_usable(pred)
-    matches = {
-        f"__{f}": F.col("valid") & usable & _same(f"$.damage.{f}") for f in DAMAGE_FIELDS
+    outputs = {f: f"$.damage.{f}" for f in DAMAGE_FIELDS} | {SEVERITY_FIELD: f"$.{SEVERITY_FIELD}"}
+    sides = ("gold", "pred")
+    texts = {
+        f"__{side}_{name}": F.to_json(J.member(F.col(side), path))
+        for side in sides
+        for name, path in (outputs | {"damage": "$.damage"}).items()
     }
-    matches[f"__{SEVERITY_FIELD}"] = F.col("valid") & _same(f"$.{SEVERITY_FIELD}")
-    return paired.withColumn("valid", F.col("gold_ok") & F.col("pred_ok")).withColumns(matches)
+    valid = F.col("valid")
+    usable = _damage_usable(F.col("__gold_damage")) & _damage_usable(F.col("__pred_damage"))
 
+    def match(name: str) -> Column:
+        return J.same_text(F.col(f"__gold_{name}"), F.col(f"__pred_{name}"))
 
-def _same(path: str) -> Column:
-    return J.comparable_text(J.member(F.col("pred"), path)).eqNullSafe(
-        J.comparable_text(J.member(F.col("gold"), path))
-    )
+    matches = {f"__{f}": valid & usable & match(f) for f in DAMAGE_FIELDS}
+    matches[f"__{SEVERITY_FIELD}"] = valid & match(SEVERITY_FIELD)
+    scored = paired.withColumn("valid", F.col("gold_ok") & F.col("pred_ok")).withColumns(texts)
+    return scored.withColumns(matches).drop(*texts)
 
 
-def _damage_usable(record: Column) -> Column:
-    damage = J.member(record, "$.damage")
-    return damage.isNull() | J.is_object(damage) | ~J.is_truthy(damage)
+def _damage_usable(text: Column) -> Column:
+    return F.coalesce(text.startswith("{"), F.lit(False)) | ~J.is_truthy_text(text)
 
 
 def evaluate_pairs(paired: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ boolean, V12 no severity, V13 severity not in the enum.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,19 +27,27 @@ def _error(code: str, path: str = "") -> Column:
     return F.struct(F.lit(code).alias("code"), F.lit(path).alias("path"))
 
 
-def _found(*checks: tuple[Column, Column]) -> Column:
+def _none() -> Column:
+    return F.array().cast(ERROR_TYPE)
+
+
+def _only(code: str, path: str = "") -> Column:
+    return F.array(_error(code, path)).cast(ERROR_TYPE)
+
+
+def _found(*checks: tuple[Column, str, str]) -> Column:
     """The errors whose condition holds, in the given order."""
-    listed = F.array(*[F.when(condition, error) for condition, error in checks])
-    return F.filter(listed, lambda e: e.isNotNull()).cast(ERROR_TYPE)
+    return F.concat(*[F.when(holds, _only(code, path)).otherwise(_none()) for holds, code, path in checks])
 
 
 def _text_errors(key: str) -> Column:
     """V04 and V05 for one present key."""
-    is_text = F.col(f"__{key}_kind") == "STRING"
-    return _found(
-        (~is_text, _error("V04", key)),
-        (is_text & is_blank(F.col(f"__{key}_text")), _error("V05", key)),
-    )
+    text = F.col(f"__{key}_text")
+    return _found((text.isNull(), "V04", key), (text.isNotNull() & is_blank(text), "V05", key))
+
+
+def _flag(field: str) -> Column:
+    return J.member(F.col("__damage"), f"$.{field}")
 
 
 def _record_errors() -> Column:
@@ -45,34 +55,38 @@ def _record_errors() -> Column:
     damage, severity = F.col("__damage"), F.col("__severity")
     fields = []
     for field in DAMAGE_FIELDS:
-        value = J.member(damage, f"$.{field}")
-        fields.append((value.isNull(), _error("V10", f"{_DAMAGE}.{field}")))
-        fields.append((J.kind(value) != "BOOLEAN", _error("V11", f"{_DAMAGE}.{field}")))
+        path = f"{_DAMAGE}.{field}"
+        fields.append((_flag(field).isNull(), "V10", path))
+        fields.append((J.kind(_flag(field)) != "BOOLEAN", "V11", path))
     damage_errors = (
-        F.when(damage.isNull(), F.array(_error("V08", _DAMAGE)))
-        .when(~J.is_object(damage), F.array(_error("V09", _DAMAGE)))
+        F.when(F.col("__flags_ok"), _none())
+        .when(damage.isNull(), _only("V08", _DAMAGE))
+        .when(~J.is_object(damage), _only("V09", _DAMAGE))
         .otherwise(_found(*fields))
     )
-    allowed = (J.kind(severity) == "STRING") & F.to_json(severity).isin([f'"{s}"' for s in SEVERITIES])
-    severity_errors = _found(
-        (severity.isNull(), _error("V12", _SEVERITY)),
-        (severity.isNotNull() & ~allowed, _error("V13", _SEVERITY)),
+    severity_errors = (
+        F.when(F.col("__severity_ok"), _none())
+        .when(severity.isNull(), _only("V12", _SEVERITY))
+        .otherwise(_only("V13", _SEVERITY))
     )
-    return F.concat(damage_errors.cast(ERROR_TYPE), severity_errors)
+    return F.concat(damage_errors, severity_errors)
 
 
 def validate_lines(df: DataFrame, line: str = "raw") -> DataFrame:
-    """Add ``errors`` and ``non_blank``. Narrow: no shuffle, each text parsed once."""
+    """Add ``errors`` and ``non_blank``. Narrow: no shuffle, each text parsed once.
+
+    The tests a good line passes are computed first; the branches that name the fault in a bad
+    one are entered only where such a test fails.
+    """
     kept = [F.col(c) for c in df.columns]
     prompt, completion = REQUIRED_KEYS
     out = df.withColumn("__line", strip_text(F.coalesce(F.col(line), F.lit(""))))
     out = J.parse_columns(out, {"__root": F.col("__line")})
     out = out.withColumns({f"__{k}": J.member(F.col("__root"), f"$.{k}") for k in REQUIRED_KEYS})
-    out = out.withColumns({f"__{k}_kind": J.kind(F.col(f"__{k}")) for k in REQUIRED_KEYS})
     out = out.withColumns(
         {
             f"__{k}_text": F.when(
-                F.col(f"__{k}_kind") == "STRING", F.try_variant_get(F.col(f"__{k}"), "$", "string")
+                J.kind(F.col(f"__{k}")) == "STRING", F.try_variant_get(F.col(f"__{k}"), "$", "string")
             )
             for k in REQUIRED_KEYS
         }
@@ -84,21 +98,28 @@ def validate_lines(df: DataFrame, line: str = "raw") -> DataFrame:
             "__severity": J.member(F.col("__record"), f"$.{SEVERITY_FIELD}"),
         }
     )
+    all_boolean = reduce(lambda a, b: a & b, [J.kind(_flag(f)) == "BOOLEAN" for f in DAMAGE_FIELDS])
+    in_enum = F.to_json("__severity").isin([f'"{s}"' for s in SEVERITIES])
+    out = out.withColumns(
+        {
+            "__flags_ok": F.coalesce(all_boolean, F.lit(False)),
+            "__severity_ok": F.coalesce(in_enum, F.lit(False)),
+        }
+    )
 
     text = F.col(f"__{completion}_text")
     content = (
-        F.when(text.isNull(), F.array().cast(ERROR_TYPE))
-        .when(F.col("__record").isNull(), F.array(_error("V06", completion)).cast(ERROR_TYPE))
-        .when(~J.is_object(F.col("__record")), F.array(_error("V07", completion)).cast(ERROR_TYPE))
+        F.when(text.isNull(), _none())
+        .when(F.col("__record").isNull(), _only("V06", completion))
+        .when(~J.is_object_text(F.col("__record"), text), _only("V07", completion))
         .otherwise(_record_errors())
     )
-    no_completion = F.concat(_text_errors(prompt), F.array(_error("V03", completion)).cast(ERROR_TYPE))
     errors = (
-        F.when(F.col("__line") == "", F.array().cast(ERROR_TYPE))
-        .when(F.col("__root").isNull(), F.array(_error("V01")).cast(ERROR_TYPE))
-        .when(~J.is_object(F.col("__root")), F.array(_error("V02")).cast(ERROR_TYPE))
-        .when(F.col(f"__{prompt}").isNull(), F.array(_error("V03", prompt)).cast(ERROR_TYPE))
-        .when(F.col(f"__{completion}").isNull(), no_completion)
+        F.when(F.col("__line") == "", _none())
+        .when(F.col("__root").isNull(), _only("V01"))
+        .when(~F.col("__line").startswith("{"), _only("V02"))
+        .when(F.col(f"__{prompt}").isNull(), _only("V03", prompt))
+        .when(F.col(f"__{completion}").isNull(), F.concat(_text_errors(prompt), _only("V03", completion)))
         .otherwise(F.concat(_text_errors(prompt), _text_errors(completion), content))
     )
     return out.select(*kept, errors.alias("errors"), (F.col("__line") != "").alias("non_blank"))

@@ -13,6 +13,7 @@ from extractkit.functions import draws
 from extractkit.operators.generate import damage_flags, generate_pairs
 from extractkit.operators.prompts import prefix_prompt, serialize_completion
 from extractkit.schema import DAMAGE_FIELDS, SEVERITIES, SEVERITY_FIELD
+from extractkit.session import spread
 
 FIXTURE_SEED = 7
 DEFECTS = 16
@@ -36,8 +37,13 @@ EXTRA_KEYS = ',"notes":{"by":"m","tags":["x",1],"none":{},"deep":{"er":1,"e":nul
 GOLD_FORMS = (("{}", 0.01), ("oops", 0.02), ("[1]", 0.03))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# A generated pair is about a kilobyte.
+PAIRS_PER_TASK = 250_000
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan.select(*columns)) if columns else scan
 
 
 def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,16 +55,16 @@ def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate_pairs(document_ids(spark, sf_dir))
+    return generate_pairs(spread(document_ids(spark, sf_dir), PAIRS_PER_TASK))
 
 
 def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generate_pairs(order_ids(spark, sf_dir))
+    return generate_pairs(spread(order_ids(spark, sf_dir), PAIRS_PER_TASK))
 
 
 def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, prompt around the document's whole text, generated completion."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "id")
     return damage_flags(docs).select(
         "id", prefix_prompt(F.col("text")).alias("prompt"), serialize_completion().alias("completion")
     )
@@ -185,7 +191,7 @@ def model_outputs(df: DataFrame, model: str) -> DataFrame:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, record: one nested JSON object per event."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "props")
     record = F.concat(
         F.lit('{"id":'),
         F.col("event_id").cast("string"),

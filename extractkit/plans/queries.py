@@ -185,7 +185,7 @@ def missing_keys(spark, sf_dir):
     """Required keys missing from each line; null where the line is not a JSON object."""
     lines = J.parse_columns(I.bad_lines(I.pairs(spark, sf_dir)), {"value": strip_text(F.col("raw"))})
     return V.missing_keys(lines, "value", REQUIRED_KEYS).select(
-        "id", F.when(J.is_object(F.col("value")), F.array_join("missing", "|")).alias("missing")
+        "id", F.when(J.is_object_text(F.col("value"), strip_text(F.col("raw"))), F.array_join("missing", "|")).alias("missing")
     )
 
 

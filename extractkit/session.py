@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import extractkit
 
@@ -15,6 +15,9 @@ REQUIRED_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
+# The JVM never compiles methods over 8000 bytes of bytecode. With the limit there, a stage too
+# long for one compiled method runs as several, each of which is.
+SPEED_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -24,7 +27,7 @@ def configure(spark: SparkSession) -> SparkSession:
     workers need not have it installed.
     """
     cloudpickle.register_pickle_by_value(extractkit)
-    for name, value in REQUIRED_CONF.items():
+    for name, value in (REQUIRED_CONF | SPEED_CONF).items():
         spark.conf.set(name, value)
     return spark
 
@@ -52,3 +55,17 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, never used before."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """Repartition a scan that has too few tasks for the work each of its rows means.
+
+    A scan is cut by bytes read, which says little when a row is an id that becomes a kilobyte,
+    or a long text to tokenize. Without ``rows_per_task`` nothing is shuffled once the scan has a
+    task per core; with it, the rows are counted and shuffled if tasks would be larger than that.
+    """
+    tasks = df.rdd.getNumPartitions()
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task is not None:
+        wanted = max(wanted, -(-df.count() // rows_per_task))
+    return df if tasks >= wanted else df.repartition(wanted)
