@@ -44,23 +44,17 @@ def score_rows(paired: DataFrame) -> DataFrame:
     Missing and null are the same on either side. A damage value that is neither an object nor
     empty matches nothing.
     """
-    outputs = {f: f"$.damage.{f}" for f in DAMAGE_FIELDS} | {SEVERITY_FIELD: f"$.{SEVERITY_FIELD}"}
-    sides = ("gold", "pred")
-    texts = {
-        f"__{side}_{name}": F.to_json(J.member(F.col(side), path))
-        for side in sides
-        for name, path in (outputs | {"damage": "$.damage"}).items()
-    }
-    valid = F.col("valid")
-    usable = _damage_usable(F.col("__gold_damage")) & _damage_usable(F.col("__pred_damage"))
-
-    def match(name: str) -> Column:
-        return J.same_text(F.col(f"__gold_{name}"), F.col(f"__pred_{name}"))
-
-    matches = {f"__{f}": valid & usable & match(f) for f in DAMAGE_FIELDS}
-    matches[f"__{SEVERITY_FIELD}"] = valid & match(SEVERITY_FIELD)
+    outputs = (*DAMAGE_FIELDS, SEVERITY_FIELD)
+    paths = ["$.damage", *[f"$.damage.{f}" for f in DAMAGE_FIELDS], f"$.{SEVERITY_FIELD}"]
+    texts = {f"__{s}": F.array(*[F.to_json(J.member(F.col(s), p)) for p in paths]) for s in ("gold", "pred")}
+    usable = _damage_usable(F.col("__gold")[0]) & _damage_usable(F.col("__pred")[0])
+    valid, same = F.col("valid"), F.col("__same")
+    matches = {f"__{name}": valid & same[i + 1] for i, name in enumerate(outputs)}
+    for f in DAMAGE_FIELDS:
+        matches[f"__{f}"] &= F.col("__usable")
     scored = paired.withColumn("valid", F.col("gold_ok") & F.col("pred_ok")).withColumns(texts)
-    return scored.withColumns(matches).drop(*texts)
+    scored = scored.withColumns({"__same": F.zip_with("__gold", "__pred", J.same_text), "__usable": usable})
+    return scored.withColumns(matches).drop(*texts, "__same", "__usable")
 
 
 def _damage_usable(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from extractkit.functions import draws
 from extractkit.functions.severity import severity_bucket, true_count
+from extractkit.functions.text import text_array
 from extractkit.operators.phrases import INTROS, PHRASES, PhraseBank, phrase_table
 from extractkit.operators.prompts import PROMPT_PREFIX, prefix_prompt, serialize_completion
 from extractkit.schema import DAMAGE_FIELDS, NARRATIVE_FIELDS
@@ -80,7 +81,7 @@ def build_narrative(
 
     def choose(options: list[str], draw: int) -> Column:
         at = draws.pick_index(_word("pick", draw), len(options)).cast("int") + 1
-        return F.element_at(F.array(*[F.lit(o) for o in options]), at)
+        return F.element_at(text_array(options), at)
 
     sentences = [
         F.when(F.col(field), choose(bank[field][True], i)).otherwise(choose(bank[field][False], i))

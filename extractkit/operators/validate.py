@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
-from extractkit.functions.text import is_blank, strip_text
+from extractkit.functions.text import is_blank, strip_line, text_array
 from extractkit.schema import DAMAGE_FIELDS, REQUIRED_KEYS, SEVERITIES, SEVERITY_FIELD
 
 ERROR_TYPE = "array<struct<code:string,path:string>>"
@@ -23,16 +23,12 @@ _DAMAGE = "completion.damage"
 _SEVERITY = f"completion.{SEVERITY_FIELD}"
 
 
-def _error(code: str, path: str = "") -> Column:
-    return F.struct(F.lit(code).alias("code"), F.lit(path).alias("path"))
-
-
 def _none() -> Column:
-    return F.array().cast(ERROR_TYPE)
+    return F.expr(f"cast(array() as {ERROR_TYPE})")
 
 
 def _only(code: str, path: str = "") -> Column:
-    return F.array(_error(code, path)).cast(ERROR_TYPE)
+    return F.expr(f"array(named_struct('code', '{code}', 'path', '{path}'))")
 
 
 def _found(*checks: tuple[Column, str, str]) -> Column:
@@ -50,23 +46,25 @@ def _flag(field: str) -> Column:
     return J.member(F.col("__damage"), f"$.{field}")
 
 
+def _field_error(field: Column) -> Column:
+    """V10 or V11 for one damage field; null where it is boolean."""
+    value = F.try_element_at(F.col("__damage_map"), field)
+    code = F.when(value.isNull(), "V10").when(J.kind(value) != "BOOLEAN", "V11")
+    return F.when(code.isNotNull(), F.struct(code.alias("code"), F.concat(F.lit(f"{_DAMAGE}."), field).alias("path")))
+
+
 def _record_errors() -> Column:
     """V08-V13 for a completion that is an object."""
-    damage, severity = F.col("__damage"), F.col("__severity")
-    fields = []
-    for field in DAMAGE_FIELDS:
-        path = f"{_DAMAGE}.{field}"
-        fields.append((_flag(field).isNull(), "V10", path))
-        fields.append((J.kind(_flag(field)) != "BOOLEAN", "V11", path))
+    fields = text_array(DAMAGE_FIELDS)
     damage_errors = (
         F.when(F.col("__flags_ok"), _none())
-        .when(damage.isNull(), _only("V08", _DAMAGE))
-        .when(~J.is_object(damage), _only("V09", _DAMAGE))
-        .otherwise(_found(*fields))
+        .when(F.col("__damage").isNull(), _only("V08", _DAMAGE))
+        .when(F.col("__damage_map").isNull(), _only("V09", _DAMAGE))
+        .otherwise(F.array_compact(F.transform(fields, _field_error)).cast(ERROR_TYPE))
     )
     severity_errors = (
         F.when(F.col("__severity_ok"), _none())
-        .when(severity.isNull(), _only("V12", _SEVERITY))
+        .when(F.col("__severity").isNull(), _only("V12", _SEVERITY))
         .otherwise(_only("V13", _SEVERITY))
     )
     return F.concat(damage_errors, severity_errors)
@@ -80,7 +78,29 @@ def validate_lines(df: DataFrame, line: str = "raw") -> DataFrame:
     """
     kept = [F.col(c) for c in df.columns]
     prompt, completion = REQUIRED_KEYS
-    out = df.withColumn("__line", strip_text(F.coalesce(F.col(line), F.lit(""))))
+    out = _staged(df, line)
+    text = F.col(f"__{completion}_text")
+    content = (
+        F.when(text.isNull(), _none())
+        .when(F.col("__record").isNull(), _only("V06", completion))
+        .when(~J.is_object_text(F.col("__record"), text), _only("V07", completion))
+        .otherwise(_record_errors())
+    )
+    errors = (
+        F.when(F.col("__line") == "", _none())
+        .when(F.col("__root").isNull(), _only("V01"))
+        .when(~F.col("__line").startswith("{"), _only("V02"))
+        .when(F.col(f"__{prompt}").isNull(), _only("V03", prompt))
+        .when(F.col(f"__{completion}").isNull(), F.concat(_text_errors(prompt), _only("V03", completion)))
+        .otherwise(F.concat(_text_errors(prompt), _text_errors(completion), content))
+    )
+    return out.select(*kept, errors.alias("errors"), (F.col("__line") != "").alias("non_blank"))
+
+
+def _staged(df: DataFrame, line: str) -> DataFrame:
+    """Parsed parts of each line and the tests a good one passes, one projection after another."""
+    completion = REQUIRED_KEYS[1]
+    out = df.withColumn("__line", strip_line(F.coalesce(F.col(line), F.lit(""))))
     out = J.parse_columns(out, {"__root": F.col("__line")})
     out = out.withColumns({f"__{k}": J.member(F.col("__root"), f"$.{k}") for k in REQUIRED_KEYS})
     out = out.withColumns(
@@ -107,22 +127,9 @@ def validate_lines(df: DataFrame, line: str = "raw") -> DataFrame:
         }
     )
 
-    text = F.col(f"__{completion}_text")
-    content = (
-        F.when(text.isNull(), _none())
-        .when(F.col("__record").isNull(), _only("V06", completion))
-        .when(~J.is_object_text(F.col("__record"), text), _only("V07", completion))
-        .otherwise(_record_errors())
-    )
-    errors = (
-        F.when(F.col("__line") == "", _none())
-        .when(F.col("__root").isNull(), _only("V01"))
-        .when(~F.col("__line").startswith("{"), _only("V02"))
-        .when(F.col(f"__{prompt}").isNull(), _only("V03", prompt))
-        .when(F.col(f"__{completion}").isNull(), F.concat(_text_errors(prompt), _only("V03", completion)))
-        .otherwise(F.concat(_text_errors(prompt), _text_errors(completion), content))
-    )
-    return out.select(*kept, errors.alias("errors"), (F.col("__line") != "").alias("non_blank"))
+    # The map is built only for a damage value at fault.
+    as_map = F.try_variant_get("__damage", "$", "map<string,variant>")
+    return out.withColumn("__damage_map", F.when(~F.col("__flags_ok"), as_map))
 
 
 def errors_text(errors: Column) -> Column:
