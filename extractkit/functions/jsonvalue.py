@@ -67,7 +67,7 @@ def canonical(text: Column) -> Column:
     number = text.try_cast("double")
     whole = (F.abs(number) < F.lit(float(2**53))) & (number == F.floor(number).cast("double"))
     plain = F.when(whole, number.cast("bigint").cast("string")).otherwise(number.cast("string"))
-    return F.when(text.rlike(r"^-?[0-9]+(\.0+$|(\.[0-9]+)?[eE])"), plain).otherwise(text)
+    return F.when(_is_number(text) & text.rlike(r"^-?[0-9]+(\.0+$|(\.[0-9]+)?[eE])"), plain).otherwise(text)
 
 
 def same_text(a: Column, b: Column) -> Column:
@@ -81,51 +81,39 @@ def is_truthy_text(text: Column) -> Column:
     return F.coalesce(~canonical(text).isin("null", "false", "0", '""', "[]", "{}"), F.lit(False))
 
 
-def object_depth(text: Column) -> Column:
-    """How deep objects nest in a valid JSON text; braces inside strings do not count."""
-    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
-    no_escapes = F.regexp_replace(text, r"(?s)\\.", "")
-    no_strings = F.regexp_replace(no_escapes, r'"[^"]*"', "")
-    marks = F.regexp_extract_all(no_strings, F.lit(r"[{}]"), F.lit(0))
-    begin = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
-
-    def step(acc: Column, mark: Column) -> Column:
-        now = acc["now"] + F.when(mark == "{", 1).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(acc["top"], now).alias("top"))
-
-    return F.when(braces <= 3, braces).otherwise(F.aggregate(marks, begin, step, lambda acc: acc["top"]))
+def flatten_leaves(value: Column, text: Column) -> Column:
+    """MAP of dot path -> (type, canonical text) for the object ``text``, parsed to ``value``.
 
+    Each round opens one more object level, until no leaf is an object; there are never more
+    levels than opening braces, so nothing is cut off. Lists are leaves, empty objects vanish.
+    """
+    as_map = "map<string,variant>"
+    state = "struct<leaves:array<struct<path:string,v:variant>>,open:boolean>"
 
-def flatten_leaves(value: Column, depth: Column) -> Column:
-    """MAP of dot path -> (type, canonical text) for one object.
+    def members(v: Column) -> Column:
+        return F.map_entries(F.try_variant_get(v, "$", as_map))
 
-    Each round opens one more object level; the row's own depth sets the number of rounds, so
-    nothing is cut off. Lists are leaves and empty objects vanish.
-    """
-    entry = "array<struct<path:string,v:variant>>"
-    top = F.transform(
-        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
-        lambda e: F.struct(e["key"].alias("path"), e["value"].alias("v")),
-    ).cast(entry)
-
-    def open_objects(leaves: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                leaves,
-                lambda leaf: F.coalesce(
-                    F.transform(
-                        F.map_entries(F.try_variant_get(leaf["v"], "$", "map<string,variant>")),
-                        lambda c: F.struct(
-                            F.concat(leaf["path"], F.lit("."), c["key"]).alias("path"), c["value"].alias("v")
-                        ),
-                    ),
-                    F.array(leaf),
-                ),
-            )
-        ).cast(entry)
-
-    rounds = F.array_repeat(F.lit(0), (depth - 1).cast("int"))
-    leaves = F.aggregate(rounds, top, lambda acc, _: open_objects(acc))
+    def opened(leaf: Column) -> Column:
+        inner = F.transform(
+            members(leaf["v"]),
+            lambda e: F.struct(F.concat(leaf["path"], F.lit("."), e["key"]).alias("path"), e["value"].alias("v")),
+        )
+        return F.coalesce(inner, F.array(leaf))
+
+    def has_object(leaves: Column) -> Column:
+        return F.exists(leaves, lambda leaf: F.try_variant_get(leaf["v"], "$", as_map).isNotNull())
+
+    def step(acc: Column, _: Column) -> Column:
+        more = F.flatten(F.transform(acc["leaves"], opened))
+        # Bound once by the one-element array, so the level is opened once.
+        moved = F.transform(F.array(more), lambda m: F.struct(m.alias("leaves"), has_object(m).alias("open")))[0]
+        return F.when(acc["open"], moved.cast(state)).otherwise(acc)
+
+    top = F.transform(members(value), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("v")))
+    start = F.struct(top.alias("leaves"), F.lit(True).alias("open")).cast(state)
+    levels = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    rounds = F.array_repeat(F.lit(0), levels - 1)
+    leaves = F.aggregate(rounds, start, step, lambda acc: acc["leaves"])
     texts = F.transform(
         leaves, lambda leaf: F.struct(leaf["path"].alias("path"), F.to_json(leaf["v"]).alias("text"))
     )
@@ -144,9 +132,14 @@ def type_class(text: Column) -> Column:
     """One of object, array, string, boolean, null, number, from compact JSON text."""
     return (
         F.when(text.startswith('"'), "string")
-        .when(text.isin("true", "false"), "boolean")
-        .when(text == "null", "null")
+        .when(_is_number(text), "number")
         .when(text.startswith("["), "array")
         .when(text.startswith("{"), "object")
-        .otherwise("number")
+        .when(text == "null", "null")
+        .otherwise("boolean")
     )
+
+
+def _is_number(text: Column) -> Column:
+    """JSON text starting with ``-`` or a digit; no other JSON text sorts between them."""
+    return (text >= "-") & (text < ":")

@@ -15,10 +15,18 @@ WHITESPACE = (
 )
 
 
+def sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def text_array(texts: Iterable[str]) -> Column:
     """A constant array, written as one SQL literal: far quicker to build than a column per text."""
-    quoted = ("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in texts)
-    return F.expr(f"array({', '.join(quoted)})")
+    return F.expr(f"array({', '.join(map(sql_literal, texts))})")
+
+
+def contains_any(column: str, phrases: Iterable[str]) -> Column:
+    """Whether any of the phrases occurs in the named column; stops at the first."""
+    return F.expr(" or ".join(f"contains(`{column}`, {sql_literal(p)})" for p in phrases))
 
 
 def strip_text(text: Column) -> Column:

@@ -25,7 +25,7 @@ def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the path -> leaf map of the object in ``text``; null when it holds no JSON object."""
     df = J.parse_columns(df, {f"__{out}_value": F.col(text)})
     value = F.col(f"__{out}_value")
-    leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, J.object_depth(F.col(text))))
+    leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, F.col(text)))
     return df.withColumn(out, leaves).drop(f"__{out}_value")
 
 
@@ -76,20 +76,19 @@ def compare_mismatches(compared: DataFrame, key: str = "id") -> DataFrame:
     return compared.filter(~F.col("is_match")).select(key, "path", "value_a", "value_b").orderBy(key, "path")
 
 
-def _blocks(outputs: DataFrame, key: str, out: str) -> DataFrame:
-    """key and leaf map per output; the map is null when there is no JSON object to compare."""
-    blocks = outputs.select(key, json_block_balanced(F.coalesce("raw_output", F.lit(""))).alias("__block"))
-    return with_leaves(blocks, "__block", out).drop("__block")
-
-
 def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """key, side errors, and an array of (path, value_a, value_b, is_match) per key.
+    """key, rejected, and a map of path -> (value_a, value_b, is_match) per key.
 
-    The one join pairs the texts; the paths are matched inside the row, so eleven paths per text
-    never become eleven shuffled rows. A key on one side only is rejected with the other's error.
+    The one join pairs the raw texts; they are parsed and matched inside the row, so eleven paths
+    per text never become eleven shuffled rows. A text without a JSON object, or absent, rejects
+    its key.
     """
-    a, b = _blocks(left, key, "a"), _blocks(right, key, "b")
+    block = json_block_balanced(F.coalesce("raw_output", F.lit("")))
+    a = left.select(key, block.alias("__text_a"))
+    b = right.select(key, block.alias("__text_b"))
     paired = a.join(b, key, "full_outer")
+    for side in ("a", "b"):
+        paired = with_leaves(paired, f"__text_{side}", side)
     both = F.map_zip_with(
         F.col("a"),
         F.col("b"),

@@ -10,7 +10,7 @@ from extractkit.functions.text import json_block_greedy
 from extractkit.operators.split import first_n
 from extractkit.schema import DAMAGE_FIELDS, SEVERITY_FIELD
 
-# Rows evaluated by a full and by a quick run of the reference job.
+# Rows evaluated by a full and by a quick run.
 MAX_EXAMPLES = 100
 QUICK_MAX_EXAMPLES = 10
 

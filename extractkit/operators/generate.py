@@ -79,15 +79,17 @@ def build_narrative(
     bank, intros = bank or PHRASES, intros if intros is not None else INTROS
     digests = _digest_columns("pick", len(NARRATIVE_FIELDS) + 1, F.col(key), seed)
 
-    def choose(options: list[str], draw: int) -> Column:
-        at = draws.pick_index(_word("pick", draw), len(options)).cast("int") + 1
-        return F.element_at(text_array(options), at)
-
-    sentences = [
-        F.when(F.col(field), choose(bank[field][True], i)).otherwise(choose(bank[field][False], i))
-        for i, field in enumerate(NARRATIVE_FIELDS)
-    ]
-    narrative = F.concat(choose(intros, len(NARRATIVE_FIELDS)), F.concat_ws(" ", *sentences))
+    def place(draw: int, size: Column) -> Column:
+        return F.pmod(draws.word_value(_word("pick", draw)), size).cast("int") + 1
+
+    sentences = []
+    for draw, field in enumerate(NARRATIVE_FIELDS):
+        stated, denied = bank[field][True], bank[field][False]
+        options = F.when(F.col(field), text_array(stated)).otherwise(text_array(denied))
+        size = F.when(F.col(field), len(stated)).otherwise(len(denied))
+        sentences.append(F.element_at(options, place(draw, size)))
+    intro = F.element_at(text_array(intros), place(len(NARRATIVE_FIELDS), F.lit(len(intros))))
+    narrative = F.concat(intro, F.concat_ws(" ", *sentences))
     return df.withColumns(digests).withColumn("narrative", narrative).drop(*digests)
 
 

@@ -19,6 +19,9 @@ VALID_SIZE = 100
 TEST_SIZE = 100
 SPLIT_SEED = 42
 
+# Rows of a few kilobytes, a gigabyte or two to sort in one task.
+ROWS_PER_TASK = 1_000_000
+
 Size = int | float
 
 
@@ -48,8 +51,10 @@ def _cut(size: Size, total: Column) -> Column:
     return F.lit(size).cast("bigint")
 
 
-def default_buckets(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def default_buckets(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Enough buckets, of one task each, for tasks of a bounded size; counts the rows."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, -(-df.count() // rows_per_task))
 
 
 def split_exact(
@@ -64,7 +69,7 @@ def split_exact(
 
     One pass over the key for the bucket counts and one shuffle of the rows. Partition i of the
     result holds bucket i in order, so the result as a whole is in shuffled order. The bucket
-    count sets task size, never the result.
+    count sets task size, never the result; unless given, it follows from a count of the rows.
     """
     buckets = buckets or default_buckets(df)
     kept = [F.col(c) for c in df.columns]

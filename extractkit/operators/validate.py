@@ -133,8 +133,13 @@ def _staged(df: DataFrame, line: str) -> DataFrame:
 
 
 def errors_text(errors: Column) -> Column:
-    """The error list as ``code:path|code:path``."""
-    return F.array_join(F.transform(errors, lambda e: F.concat_ws(":", e["code"], e["path"])), "|")
+    """The error list as ``code:path|code:path``.
+
+    The size test also keeps the rules out of ``transform``, whose input is interpreted: a column
+    read twice is computed on its own first.
+    """
+    listed = F.array_join(F.transform(errors, lambda e: F.concat_ws(":", e["code"], e["path"])), "|")
+    return F.when(F.size(errors) > 0, listed).otherwise("")
 
 
 def validate_summary(validated: DataFrame) -> DataFrame:

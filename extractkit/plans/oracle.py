@@ -247,6 +247,30 @@ def flat_ctes(source: str, name: str, text: str) -> str:
     WHERE j.type <> 'OBJECT' AND j.fullkey <> '$' AND strpos(j.fullkey, '[') = 0)"""
 
 
+def rendered_object(text: str) -> str:
+    """A model output object as compact text with keys sorted."""
+
+    def entry(name: str, path: str) -> str:
+        return (
+            f"CASE WHEN json_type({text}, '{path}') IS NOT NULL "
+            f"THEN '\"{name}\":' || json_extract({text}, '{path}')::VARCHAR END"
+        )
+
+    def entries(listed: list[str]) -> str:
+        return f"array_to_string(list_filter([{', '.join(listed)}], lambda e: e IS NOT NULL), ',')"
+
+    damage = entries([entry(f, f"$.damage.{f}") for f in sorted(DAMAGE_FIELDS)])
+    notes = '"notes":{"by":"m","deep":{"e":null,"er":1},"none":{},"tags":["x",1]}'
+    top = entries(
+        [
+            f"CASE WHEN json_type({text}, '$.damage') IS NOT NULL THEN '\"damage\":{{' || {damage} || '}}' END",
+            f"CASE WHEN json_type({text}, '$.notes') IS NOT NULL THEN '{notes}' END",
+            entry("overall_severity", "$.overall_severity"),
+        ]
+    )
+    return f"'{{' || coalesce({top}, '') || '}}'"
+
+
 def two_flat() -> str:
     return ",\n".join(
         [
@@ -488,6 +512,14 @@ def _build() -> dict[str, str]:
             query="SELECT id, json_valid(block) AS ok, CASE WHEN json_valid(block) "
             "THEN json_extract_string(block, '$.overall_severity') END AS severity FROM b",
         ),
+        "render_output": with_(
+            outputs_a,
+            balanced_ctes("oa", "ba"),
+            "raws AS (SELECT o.id, o.raw_output, b.block, CASE WHEN json_valid(b.block) THEN b.block END AS obj "
+            "FROM oa o JOIN ba b ON o.id = b.id)",
+            query=f"SELECT id, CASE WHEN obj IS NOT NULL THEN {rendered_object('obj')} "
+            "WHEN block <> '' THEN block ELSE raw_output END AS output FROM raws",
+        ),
         "json_flatten": f"""WITH recs AS (SELECT event_id AS id, '{{"id":' || event_id || ',"kind":'
             || {js('event_type')} || ',"props":' || props || ',"none":{{}},"list":[1,{{"x":2}}],"nil":null,"user":{{"ids":{{"main":'
             || user_id || ',"other":{{}}}}}}}}' AS record FROM events),
