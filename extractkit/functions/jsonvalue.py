@@ -73,7 +73,7 @@ def canonical(text: Column) -> Column:
 def same_text(a: Column, b: Column) -> Column:
     """Equality of two compact JSON texts, missing (SQL null) equal to JSON null."""
     a, b = F.coalesce(a, F.lit("null")), F.coalesce(b, F.lit("null"))
-    return (a == b) | (canonical(a) == canonical(b))
+    return F.when(a == b, True).otherwise(canonical(a) == canonical(b))
 
 
 def is_truthy_text(text: Column) -> Column:
@@ -82,7 +82,7 @@ def is_truthy_text(text: Column) -> Column:
 
 
 def flatten_leaves(value: Column, text: Column) -> Column:
-    """MAP of dot path -> (type, canonical text) for the object ``text``, parsed to ``value``.
+    """MAP of dot path -> compact JSON text for the object ``text``, parsed to ``value``.
 
     Each round opens one more object level, until no leaf is an object; there are never more
     levels than opening braces, so nothing is cut off. Lists are leaves, empty objects vanish.
@@ -114,17 +114,8 @@ def flatten_leaves(value: Column, text: Column) -> Column:
     levels = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
     rounds = F.array_repeat(F.lit(0), levels - 1)
     leaves = F.aggregate(rounds, start, step, lambda acc: acc["leaves"])
-    texts = F.transform(
-        leaves, lambda leaf: F.struct(leaf["path"].alias("path"), F.to_json(leaf["v"]).alias("text"))
-    )
     return F.map_from_entries(
-        F.transform(
-            texts,
-            lambda leaf: F.struct(
-                leaf["path"].alias("path"),
-                F.struct(type_class(leaf["text"]).alias("type"), canonical(leaf["text"]).alias("value")).alias("leaf"),
-            ),
-        )
+        F.transform(leaves, lambda leaf: F.struct(leaf["path"].alias("path"), F.to_json(leaf["v"]).alias("text")))
     )
 
 

@@ -18,11 +18,13 @@ def flatten_table(df: DataFrame, text: str, key: str = "id") -> DataFrame:
     """
     leaves = with_leaves(df.select(key, text), text, "__leaves")
     rows = leaves.select(key, F.explode_outer("__leaves").alias("path", "leaf")).filter(F.col("path").isNotNull())
-    return rows.select(key, "path", F.col("leaf.value").alias("value"), F.col("leaf.type").alias("type"))
+    return rows.select(
+        key, "path", J.canonical(F.col("leaf")).alias("value"), J.type_class(F.col("leaf")).alias("type")
+    )
 
 
 def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add the path -> leaf map of the object in ``text``; null when it holds no JSON object."""
+    """Add the path -> leaf text map of the object in ``text``; null when it holds no JSON object."""
     df = J.parse_columns(df, {f"__{out}_value": F.col(text)})
     value = F.col(f"__{out}_value")
     leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, F.col(text)))
@@ -40,29 +42,20 @@ def compare_paths(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     ``value_a`` / ``value_b`` are ``<missing>`` where the side has no such path. Missing and null
     count as equal.
     """
-    a = left.select(key, "path", F.struct("type", "value").alias("a"))
-    b = right.select(key, "path", F.struct("type", "value").alias("b"))
+    a = left.select(key, "path", F.col("value").alias("a"))
+    b = right.select(key, "path", F.col("value").alias("b"))
     joined = a.join(b, [key, "path"], "full_outer")
     return joined.select(
         key,
         "path",
         _shown(F.col("a")).alias("value_a"),
         _shown(F.col("b")).alias("value_b"),
-        leaves_equal(F.col("a"), F.col("b")).alias("is_match"),
+        J.same_text(F.col("a"), F.col("b")).alias("is_match"),
     )
 
 
-def leaves_equal(a: Column, b: Column) -> Column:
-    """Same type and value; a null leaf equals a missing one."""
-    return _value(a).eqNullSafe(_value(b))
-
-
-def _value(leaf: Column) -> Column:
-    return F.when(leaf["type"] != "null", leaf["value"])
-
-
 def _shown(leaf: Column) -> Column:
-    return F.coalesce(leaf["value"], F.lit(MISSING))
+    return F.coalesce(J.canonical(leaf), F.lit(MISSING))
 
 
 def compare_summary(compared: DataFrame, key: str = "id") -> DataFrame:
@@ -77,7 +70,7 @@ def compare_mismatches(compared: DataFrame, key: str = "id") -> DataFrame:
 
 
 def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """key, rejected, and a map of path -> (value_a, value_b, is_match) per key.
+    """key, rejected, and a map of path -> match per key.
 
     The one join pairs the raw texts; they are parsed and matched inside the row, so eleven paths
     per text never become eleven shuffled rows. A text without a JSON object, or absent, rejects
@@ -92,9 +85,7 @@ def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     both = F.map_zip_with(
         F.col("a"),
         F.col("b"),
-        lambda path, x, y: F.struct(
-            _shown(x).alias("value_a"), _shown(y).alias("value_b"), leaves_equal(x, y).alias("is_match")
-        ),
+        lambda path, x, y: J.same_text(x, y),
     )
     return paired.select(
         key,
@@ -109,7 +100,7 @@ def compare_models(left: DataFrame, right: DataFrame, key: str = "id") -> DataFr
     values = F.map_values(F.col("paths"))
     keys = F.when(F.col("paths").isNotNull(), F.size("paths")).cast("bigint")
     matches = F.when(
-        F.col("paths").isNotNull(), F.size(F.filter(values, lambda v: v["is_match"]))
+        F.col("paths").isNotNull(), F.size(F.filter(values, lambda v: v))
     ).cast("bigint")
     return matched.select(key, "rejected", keys.alias("keys"), matches.alias("matches")).withColumn(
         "pct", F.try_divide(F.lit(100.0) * F.col("matches"), F.col("keys"))
