@@ -8,62 +8,70 @@ its own number of parts, and a set lists as many parts as its own size can need.
 
 - **First pass**: a signature is the content of one part. Most groups of equal signatures hold few
   sets, and the pairs in them are checked.
-- **Second pass**: sets in a group above ``GROUP`` (a passage that very many documents share, or one
-  large group of near copies) are listed again with longer signatures: parts are taken four at a
-  time, each four is cut into six and all choices of three of the six are signatures (of four parts
-  together at most three differ in at least one four). Both sets of a pair that met in a large group
-  are listed again, so no pair is lost.
+- **Second pass**: the members of larger groups (a passage that very many documents share, or many
+  near copies) are joined again by their rarest shingles: of the elements of a set, ordered by how
+  common they are, one of the first floor((100 - p) size / 100) + 1 is in every set it links with.
+  How common is read off a table of fixed size, counted over all sets of this pass; any order
+  common to all sets is right. Both sets of a pair that met in a large group are in this pass, so no
+  pair is lost.
 - **Parts empty in both** agree without saying anything. A set lists its empty parts only where its
   non-empty ones would not suffice for the guarantee.
 
 Groups are never expanded into all pairs. Each member is paired with the least member and its
 neighbour; after checking and joining components, groups of four or more whose members already hang
-together need nothing else. In the others, members of different components are paired, first with
-one member of each other component, then with all.
+together need nothing else. In the others, all members of different components are compared.
 
-Checks count the intersection of whole shingle sets.
+Checks count the intersection of whole shingle sets. Before that, pairs go whose bitmaps of shingles
+differ in more bits than the sets may differ in elements; that loses none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from extractkit.llm import textscan
 from extractkit.llm.graph import components
 from extractkit.llm.tables import saved, small_side
+from extractkit.llm.textscan import SPACES, constants, groups, lowered, mix, shingles, word_class
 
-#: Sets in one group of equal signatures before they are listed with longer signatures.
-GROUP = 24
+#: Sets in one group of equal signatures before they are joined by rare shingles instead.
+GROUP = 6
 #: Size ratio of a band.
 BAND = 3
-#: Second pass: first-level parts differ in up to K2 of N2 second-level parts.
-K2, N2 = 3, 6
+#: Counters of the table of how common shingles are.
+COUNTERS = 1 << 20
+#: Bits of a set's bitmap, and of the shorter one used where many pairs are compared.
+BITS, FEW = 2048, 512
 
-_CLASS = textscan.word_class(textscan.SPACES)
+_CLASS = word_class(SPACES)
 
 
-@cache
-def _family(low: int, high: int, smaller: int, percent: int, second: bool):
+#: Families made once per worker task.
+_FAMILIES: dict = {}
+
+
+def _family(low: int, high: int, smaller: int, percent: int):
     """Of a family of sizes low..high, where the smaller set of a pair has at most ``smaller``.
 
     Returns the number of parts, and per size the parts listed and the differences allowed.
     """
+    made = (low, high, smaller, percent)
+    if made in _FAMILIES:
+        return _FAMILIES[made]
     size = np.arange(low, high + 1)
     a = np.minimum(size, smaller)
     larger = np.minimum(high, np.where(size > smaller, size, 100 * size // percent))
-    differ = (100 - percent) * (a + larger) // (100 + percent)
-    need = differ // (K2 + 1) if second else differ
+    need = (100 - percent) * (a + larger) // (100 + percent)
     parts = int(1.1 * (need.max() + 1)) + 2
     full = 1 - np.exp(-size / parts)
     listed = np.minimum(parts, np.ceil((need + 1) / full * 1.05 + 2).astype(np.int64))
-    return parts, np.maximum.accumulate(listed), need
+    _FAMILIES[made] = (parts, np.maximum.accumulate(listed), need)
+    return _FAMILIES[made]
 
 
 def families(size: int, percent: int) -> list[tuple[int, int, int]]:
@@ -84,60 +92,59 @@ def _parts(points: np.ndarray, n: int) -> np.ndarray:
     return (points * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def signatures(sorted_set: np.ndarray, percent: int, second: bool) -> np.ndarray:
-    """Signatures of one set of 64-bit hashes, in ascending order."""
+def _tag(low: int, high: int, second: bool) -> np.uint64:
+    return mix(np.array([(low * 1_000_003 + high) * 2 + second], dtype=np.uint64))[0]
+
+
+def signatures(sorted_set: np.ndarray, percent: int) -> np.ndarray:
+    """First pass: signatures of one set of 64-bit hashes in ascending order."""
     size = len(sorted_set)
     out = []
     points = sorted_set >> np.uint64(32)
-    content = textscan.mix(sorted_set)
+    content = mix(sorted_set)
     for low, high, smaller in families(size, percent):
-        n, listed, need = _family(low, high, smaller, percent, second)
+        n, listed, need = _family(low, high, smaller, percent)
         count = int(listed[size - low])
         part = _parts(points, n)
         cut = np.flatnonzero(np.diff(part, prepend=-1))
         filled = part[cut]
         first = max(low, -(-size * percent // 100)) - low
         last = min(size, smaller) - low
-        if last >= first:
-            within = np.searchsorted(filled, listed[first : last + 1])
-            blank = bool((within <= need[first : last + 1]).any())
-        else:
-            blank = False
-        tag = np.uint64((low * 1_000_003 + high) * 2 + second)
-        if second:
-            fine = _parts(points, n * N2)
-            sums = np.zeros(n * N2, dtype=np.uint64)
-            at = np.flatnonzero(np.diff(fine, prepend=-1))
-            sums[fine[at]] = np.add.reduceat(content, at)
-            used = np.arange(count) if blank else filled[filled < count]
-            cells = sums.reshape(n, N2)[used]
-            for number, choice in enumerate(combinations(range(N2), N2 - K2)):
-                key = np.zeros(len(used), dtype=np.uint64)
-                for c in choice:
-                    key = textscan.mix(key + cells[:, c])
-                some = (cells[:, choice] != 0).any(axis=1) | blank
-                key += (used * 64 + number).astype(np.uint64)
-                out.append(textscan.mix(key[some] ^ textscan.mix(tag + np.zeros(1, np.uint64))))
-        else:
-            keep = filled < count
-            sums = np.add.reduceat(content, cut)[keep]
-            used = filled[keep].astype(np.uint64)
-            if blank:
-                empty = np.setdiff1d(np.arange(count), filled).astype(np.uint64)
-                used = np.concatenate([used, empty])
-                sums = np.concatenate([sums, np.zeros(len(empty), dtype=np.uint64)])
-            out.append(textscan.mix(textscan.mix(sums + used) ^ textscan.mix(used + tag)))
+        within = np.searchsorted(filled, listed[first : last + 1])
+        blank = bool((within <= need[first : last + 1]).any())
+        keep = filled < count
+        sums = np.add.reduceat(content, cut)[keep]
+        used = filled[keep].astype(np.uint64)
+        if blank:
+            empty = np.setdiff1d(np.arange(count), filled).astype(np.uint64)
+            used = np.concatenate([used, empty])
+            sums = np.concatenate([sums, np.zeros(len(empty), dtype=np.uint64)])
+        out.append(mix(mix(sums + used) ^ mix(used + _tag(low, high, False))))
     return np.concatenate(out)
 
 
+def _counter(a_set: np.ndarray) -> np.ndarray:
+    return (a_set & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def rarest(a_set: np.ndarray, percent: int, counts: np.ndarray) -> np.ndarray:
+    """Second pass: signatures from the rarest shingles, one of which any linking set shares."""
+    first = (100 - percent) * len(a_set) // 100 + 1
+    order = np.lexsort((a_set, counts[_counter(a_set)]))[:first]
+    some = a_set[order]
+    return np.concatenate(
+        [mix(some ^ _tag(low, high, True)) for low, high, _ in families(len(a_set), percent)]
+    )
+
+
 def _per_batch(words: int, make):
     """A function for mapInArrow that hands ids and shingle sets of a batch to ``make``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = textscan.lowered(batch.column(1).to_pylist())
-            for a, b in textscan.groups(texts):
-                sets = textscan.shingles(texts[a:b], words, _CLASS)
+            texts = lowered(batch.column(1).to_pylist())
+            for a, b in groups(texts):
+                sets = shingles(texts[a:b], words, _CLASS)
                 yield from make(batch.column(0).slice(a, b - a), sets)
 
     return run
@@ -145,21 +152,20 @@ def _per_batch(words: int, make):
 
 def _digests(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     def summed(factor: int) -> pa.Array:
-        f = textscan.constants(factor, 1)[0]
-        sums = [textscan.mix(s * f).sum(dtype=np.uint64) for s in sets]
+        f = constants(factor, 1)[0]
+        sums = [mix(s * f).sum(dtype=np.uint64) for s in sets]
         return pa.array(np.array(sums, dtype=np.uint64).view(np.int64))
 
     size = pa.array(np.array([len(s) for s in sets], dtype=np.int64))
     yield pa.RecordBatch.from_arrays([ids, size, summed(31), summed(37)], ["id", "size", "d1", "d2"])
 
 
-def _listed(percent: int, second: bool):
+def _listed(keys_of):
+    """Batches of (sig, id) from a function of one set."""
+
     def make(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        number = ids.to_numpy(zero_copy_only=False)
-        each = [signatures(s, percent, second) if len(s) else s for s in sets]
-        if not each:
-            return
-        owner = np.repeat(number, [len(x) for x in each])
+        each = [keys_of(s) if len(s) else s for s in sets]
+        owner = np.repeat(ids.to_numpy(zero_copy_only=False), [len(x) for x in each])
         keys = np.concatenate(each).view(np.int64)
         for i in range(0, len(keys), 100_000):
             part = [pa.array(keys[i : i + 100_000]), pa.array(owner[i : i + 100_000], pa.int64())]
@@ -168,11 +174,27 @@ def _listed(percent: int, second: bool):
     return make
 
 
+def _counted(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    counter, n = np.unique(_counter(np.concatenate(sets)), return_counts=True)
+    yield pa.RecordBatch.from_arrays([pa.array(counter), pa.array(n)], ["counter", "n"])
+
+
+def _bitmap(a_set: np.ndarray) -> np.ndarray:
+    bits = np.zeros(BITS, dtype=bool)
+    bits[(a_set >> np.uint64(20)) & np.uint64(BITS - 1)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _whole(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    flat = np.concatenate([*sets, np.empty(0, dtype=np.uint64)]).view(np.int64)
-    offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-    arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-    yield pa.RecordBatch.from_arrays([ids, arrays], ["id", "shingles"])
+    def arrays(parts: list[np.ndarray]) -> pa.Array:
+        flat = np.concatenate([*parts, np.empty(0, dtype=np.uint64).view(np.int64)])
+        offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+    size = pa.array(np.array([len(s) for s in sets], dtype=np.int64))
+    bits = arrays([_bitmap(s) for s in sets])
+    whole = arrays([s.view(np.int64) for s in sets])
+    yield pa.RecordBatch.from_arrays([ids, size, bits, whole], ["id", "size", "bits", "shingles"])
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -198,50 +220,67 @@ def _star(groups: DataFrame) -> DataFrame:
     return groups.select(ends, F.col("id").alias("b")).where("a < b").distinct()
 
 
-def _checked(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    ids = saved(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids"
-    )
-    sets = saved(
-        _only(docs, ids).mapInArrow(_per_batch(words, _whole), "id long, shingles array<long>"),
-        "shingle-sets",
+def _near(words: int, percent: int):
+    """False only for pairs that can't link: sizes too far apart, or too many different bits."""
+    apart = sum(
+        F.bit_count(F.col(f"bits{i}a").bitwiseXOR(F.col(f"bits{i}b"))) for i in range(words)
     )
-    left = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
+    sizes = F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100
+    return sizes & (apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+
+
+def _bits(sets: DataFrame, words: int) -> DataFrame:
+    """Bitmaps as columns bits0 and on, folded to so many 64-bit words."""
+    folded = [
+        reduce(Column.bitwiseOR, [F.col("bits")[i] for i in range(k, BITS // 64, words)])
+        for k in range(words)
+    ]
+    return sets.select("id", "size", *[x.alias(f"bits{k}") for k, x in enumerate(folded)])
+
+
+def _side(rows: DataFrame, end: str) -> DataFrame:
+    names = {"id": end, "size": f"n{end}", "shingles": f"set{end}"}
+    return rows.withColumnsRenamed({x: names.get(x, x + end) for x in rows.columns})
+
+
+def _checked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link."""
+    bits, near = _bits(sets, BITS // 64), _near(BITS // 64, percent)
+    close = pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(near)
+    close = saved(close.select("a", "b"), "close-pairs")
+    whole = sets.select("id", "shingles")
+    close = close.join(_side(whole, "a"), "a").join(_side(whole, "b"), "b")
+    common = F.size(F.array_intersect("seta", "setb"))
+    union = F.size("seta") + F.size("setb") - common
     return saved(
-        pairs.join(left, "b")
-        .join(right, "a")
-        .where(common * 100 >= union * percent)
-        .select("a", "b")
-        .distinct(),
-        "links",
+        close.where(common * 100 >= union * percent).select("a", "b").distinct(), "links"
     )
 
 
-def _apart(groups: DataFrame, joined: DataFrame, one_each: bool) -> DataFrame:
-    """Pairs of a group's members that are in different components.
-
-    With ``one_each`` each member is paired with the least member of every other component only.
-    """
+def _apart(groups: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a group's members that are in different components and may link."""
     known = groups.join(joined, "id", "left").select(
         "sig", "id", F.coalesce("component", "id").alias("c")
     )
+    parts = known.groupBy("sig", "c").count()
     mixed = (
-        known.groupBy("sig")
-        .agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        .where("lo < hi")
-        .select("sig")
+        parts.groupBy("sig")
+        .agg(F.max_by("c", "count").alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1")
     )
-    open_ = known.join(mixed, "sig", "left_semi")
-    other = open_.groupBy("sig", "c").agg(F.min("id").alias("id")) if one_each else open_
-    other = other.select("sig", F.col("id").alias("x"), F.col("c").alias("cx"))
+    members = saved(
+        known.join(mixed, "sig").join(_bits(sets, FEW // 64), "id").drop("parts"), "open"
+    )
+    # of two components one is not the group's largest
+    left, right = _side(members.where("c <> main"), "a"), _side(members, "b")
     return (
-        open_.join(other, "sig")
-        .where("c <> cx")
-        .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
+        left.join(
+            right,
+            (F.col("siga") == F.col("sigb"))
+            & (F.col("ca") != F.col("cb"))
+            & _near(FEW // 64, percent),
+        )
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
 
@@ -251,30 +290,35 @@ def links_of(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
 
     Ids must not be null. Rows that share an id count as one document.
     """
-    first = docs.mapInArrow(_per_batch(words, _listed(percent, False)), "sig long, id long")
-    shape = "id long, sig long, hub long, n long, before long"
-    groups = saved(_grouped(first).select(*[c.split()[0] for c in shape.split(", ")]), "groups")
-    large = groups.where(F.col("n") > GROUP).select("id").distinct()
-    large = saved(large, "dense-ids")
-    second = _only(docs, large).mapInArrow(
-        _per_batch(words, _listed(percent, True)), "sig long, id long"
+    shape = "sig long, id long"
+    columns = ["id", "sig", "hub", "n", "before"]
+    first = docs.mapInArrow(_per_batch(words, _listed(lambda s: signatures(s, percent))), shape)
+    groups = saved(_grouped(first).select(columns), "groups")
+    large = saved(groups.where(F.col("n") > GROUP).select("id").distinct(), "dense-ids")
+    dense = _only(docs, large)
+    counters = (
+        dense.mapInArrow(_per_batch(words, _counted), "counter long, n long")
+        .groupBy("counter")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
     )
-    again = saved(_grouped(second).select(*groups.columns), "groups")
+    table = np.zeros(COUNTERS, dtype=np.int64)
+    table[counters["counter"].to_numpy(np.int64)] = counters["n"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    second = dense.mapInArrow(
+        _per_batch(words, _listed(lambda s: rarest(s, percent, shared.value))), shape
+    )
+    again = saved(_grouped(second).select(columns), "groups")
     open_groups = groups.where((F.col("n") <= GROUP) & (F.col("n") > 3)).unionByName(
         again.where("n > 3")
     )
     met = groups.where(F.col("n") <= GROUP).unionByName(again)
-    tested = saved(_star(met), "pairs")
-    links = _checked(docs, tested, words, percent)
-    for one_each in (True, False):
-        more = _apart(open_groups, components(links), one_each).join(
-            tested, ["a", "b"], "left_anti"
-        )
-        more = saved(more, "pairs")
-        if not more.isEmpty():
-            links = links.unionByName(_checked(docs, more, words, percent))
-            tested = tested.unionByName(more)
-    return links
+    ids = saved(met.select("id").distinct(), "pair-ids")
+    shape = "id long, size long, bits array<long>, shingles array<long>"
+    sets = saved(_only(docs, ids).mapInArrow(_per_batch(words, _whole), shape), "shingle-sets")
+    links = _checked(sets, saved(_star(met), "pairs"), percent)
+    more = _apart(open_groups, components(links), sets, percent)
+    return links.unionByName(_checked(sets, saved(more, "pairs"), percent))
 
 
 def near_duplicates(

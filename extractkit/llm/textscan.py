@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 
@@ -36,13 +35,23 @@ def constants(seed: int, n: int) -> np.ndarray:
     return mix(steps + np.uint64(seed)) | np.uint64(1)
 
 
-@cache
+#: Tables made once per worker task.
+_MADE: dict = {}
+
+
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if "powers" in _MADE:
+        return _MADE["powers"]
     base = int(constants(11, 1)[0])
     up = np.full(BLOCK + 1, base, dtype=np.uint64)
     down = np.full(BLOCK + 1, pow(base, -1, 1 << 64), dtype=np.uint64)
     up[0] = down[0] = 1
-    return constants(7, 256), np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    _MADE["powers"] = (
+        constants(7, 256),
+        np.cumprod(up, dtype=np.uint64),
+        np.cumprod(down, dtype=np.uint64),
+    )
+    return _MADE["powers"]
 
 
 def word_class(outside: bytes) -> np.ndarray:
