@@ -1,8 +1,70 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
 
-STAGES = []
+Each stage is one operator of ``extractkit.llm`` and works on all rows the stage before kept. All but
+the last return the columns of ``documents``; n_chars follows the text where a stage changes it.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from extractkit.llm import decontaminate, ngram_join, packing, preference, secrets
+from extractkit.llm.tables import read, saved
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.length("text").cast(kind))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return preference.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id; null ids stay."""
+    groups = saved(ngram_join.near_duplicates(docs), "groups")
+    other = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(other, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages cut out; documents that are mostly benchmark text go."""
+    return _counted(decontaminate.removed(docs, read(spark, sf_dir, "benchmark")))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets replaced by a mark."""
+    return _counted(secrets.scan(docs, redact="[SECRET]").select(*docs.columns))
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
+    return packing.packed(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scan),
+    ("best-fit packing", best_fit),
+]
+
+#: A fitted classifier and a tokenizer's ids have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = saved(stage(spark, docs, sf_dir), f"stage{number}")
+    return docs

@@ -4,19 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from extractkit.llm.ngram_join import near_duplicates
+from extractkit.llm import (
+    decontaminate,
+    ngram_join,
+    packing,
+    preference,
+    quality_rules,
+    secrets,
+    warc,
+)
 from extractkit.llm.tables import read
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and risk-controlled rules over all documents."""
+    return quality_rules.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    docs = read(spark, sf_dir, "documents")
+    return packing.packed(docs, public_tokenizers.path(VOCABULARY))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents from preference pairs."""
+    return preference.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    return decontaminate.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    return warc.digest(read(spark, sf_dir, "pages"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.digest(read(spark, sf_dir, "documents"))
+
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach a Jaccard similarity of 0.75."""
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_best_fit_packing,
+        op5_quality_classifier,
+        op6_decontamination,
+        op8_warc,
+        op9_secret_scan,
+        op10_ngram_jaccard_join,
+    )
 }
 
 ORACLE: dict[str, str] = {}
