@@ -185,7 +185,9 @@ def _bitmap(a_set: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _whole(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def set_columns(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    """Ids with size, bitmap and shingles of their sets."""
+
     def arrays(parts: list[np.ndarray]) -> pa.Array:
         flat = np.concatenate([*parts, np.empty(0, dtype=np.uint64).view(np.int64)])
         offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
@@ -194,7 +196,11 @@ def _whole(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     size = pa.array(np.array([len(s) for s in sets], dtype=np.int64))
     bits = arrays([_bitmap(s) for s in sets])
     whole = arrays([s.view(np.int64) for s in sets])
-    yield pa.RecordBatch.from_arrays([ids, size, bits, whole], ["id", "size", "bits", "shingles"])
+    return pa.RecordBatch.from_arrays([ids, size, bits, whole], ["id", "size", "bits", "shingles"])
+
+
+def _whole(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    yield set_columns(ids, sets)
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -202,7 +208,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(small_side(ids, ids.count()), "id", "left_semi")
 
 
-def _grouped(listed: DataFrame) -> DataFrame:
+def grouped(listed: DataFrame) -> DataFrame:
     """Signatures listed by two sets or more, with the group's least id, size and neighbour."""
     group = Window.partitionBy("sig")
     return listed.select(
@@ -212,7 +218,7 @@ def _grouped(listed: DataFrame) -> DataFrame:
         F.max("id").over(group).alias("top"),
         F.count("*").over(group).alias("n"),
         F.lag("id").over(group.orderBy("id")).alias("before"),
-    ).where("hub < top")
+    ).where("hub < top").drop("top")
 
 
 def _star(groups: DataFrame) -> DataFrame:
@@ -285,15 +291,24 @@ def _apart(groups: DataFrame, joined: DataFrame, sets: DataFrame, percent: int)
     )
 
 
+def spanning_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components of all links within the groups ``met``.
+
+    ``met`` is from ``grouped``; ``sets`` has the columns of ``set_columns`` for its ids.
+    """
+    links = _checked(sets, saved(_star(met), "pairs"), percent)
+    more = _apart(met.where("n > 3"), components(links), sets, percent)
+    return links.unionByName(_checked(sets, saved(more, "pairs"), percent))
+
+
 def links_of(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """Links (a, b) between the ids of ``docs`` (id, text) that span every component.
 
     Ids must not be null. Rows that share an id count as one document.
     """
     shape = "sig long, id long"
-    columns = ["id", "sig", "hub", "n", "before"]
     first = docs.mapInArrow(_per_batch(words, _listed(lambda s: signatures(s, percent))), shape)
-    groups = saved(_grouped(first).select(columns), "groups")
+    groups = saved(grouped(first), "groups")
     large = saved(groups.where(F.col("n") > GROUP).select("id").distinct(), "dense-ids")
     dense = _only(docs, large)
     counters = (
@@ -308,17 +323,12 @@ def links_of(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     second = dense.mapInArrow(
         _per_batch(words, _listed(lambda s: rarest(s, percent, shared.value))), shape
     )
-    again = saved(_grouped(second).select(columns), "groups")
-    open_groups = groups.where((F.col("n") <= GROUP) & (F.col("n") > 3)).unionByName(
-        again.where("n > 3")
-    )
+    again = saved(grouped(second), "groups")
     met = groups.where(F.col("n") <= GROUP).unionByName(again)
     ids = saved(met.select("id").distinct(), "pair-ids")
     shape = "id long, size long, bits array<long>, shingles array<long>"
     sets = saved(_only(docs, ids).mapInArrow(_per_batch(words, _whole), shape), "shingle-sets")
-    links = _checked(sets, saved(_star(met), "pairs"), percent)
-    more = _apart(open_groups, components(links), sets, percent)
-    return links.unionByName(_checked(sets, saved(more, "pairs"), percent))
+    return spanning_links(met, sets, percent)
 
 
 def near_duplicates(

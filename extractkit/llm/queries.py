@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from extractkit.llm import (
     decontaminate,
+    licenses,
     ngram_join,
     packing,
+    paragraphs,
     preference,
     quality_rules,
     secrets,
@@ -26,12 +28,22 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of 50 words or more that repeat in documents, exactly or nearly."""
+    return paragraphs.repeated(read(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     docs = read(spark, sf_dir, "documents")
     return packing.packed(docs, public_tokenizers.path(VOCABULARY))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents from preference pairs."""
     return preference.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -61,7 +73,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_substring_dedup,
         op3_best_fit_packing,
+        op4_license_scan,
         op5_quality_classifier,
         op6_decontamination,
         op8_warc,
