@@ -16,6 +16,7 @@ from extractkit.llm import (
     preference,
     quality_rules,
     secrets,
+    token_files,
     warc,
 )
 from extractkit.llm.tables import read
@@ -54,6 +55,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written in coded blocks and read back."""
+    docs = read(spark, sf_dir, "documents")
+    return token_files.digest(docs, public_tokenizers.path(VOCABULARY))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     return warc.digest(read(spark, sf_dir, "pages"))
@@ -78,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_license_scan,
         op5_quality_classifier,
         op6_decontamination,
+        op7_token_files,
         op8_warc,
         op9_secret_scan,
         op10_ngram_jaccard_join,
