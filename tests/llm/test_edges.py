@@ -1,0 +1,259 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+import corpus_pipeline
+from extractkit.llm import decontaminate, licenses, ngram_join, packing, paragraphs, preference
+from extractkit.llm import quality_rules, secrets, token_coder, token_files, warc
+from extractkit.llm.automaton import Automaton
+from extractkit.session import fresh_path
+from tests.llm import brute
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+WORDS = [f"w{i}" for i in range(400)]
+LONG = " ".join(np.random.default_rng(2).choice(WORDS, 60_000))
+BASE = " ".join(WORDS[:120])
+NEAR = " ".join([*WORDS[:118], "other", "end"])
+SHAPE = "doc_id long, text string, lang string, size long, id long, row long, bands long, features long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    texts = [None, "", " \n\t", BASE, BASE, NEAR, LONG, LONG + " x", "É́ ß\n" * 30, "one two"]
+    rows = [(i, t, "en" if i % 2 else None, 1, 2, 3, 4, 5) for i, t in enumerate(texts)]
+    rows += [(3, BASE, "en", 1, 2, 3, 4, 5), (None, BASE, None, 1, 2, 3, 4, 5)]
+    return spark.createDataFrame(rows, SHAPE).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SHAPE)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(3, 1), (3, 1), (8, 0), (9, None), (None, 1), (5, 0), (5, 1)]
+    return spark.createDataFrame(rows, "doc_id long, quality int")
+
+
+def test_quality_rules(odd, none, labels):
+    got = quality_rules.judged(odd, labels).collect()
+    assert len(got) == 12
+    for r in got:
+        text = next(x.text for x in odd.collect() if x.doc_id == r.doc_id)
+        want = brute.counts(text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+    assert quality_rules.judged(none, labels).count() == 0
+    assert quality_rules.judged(odd, labels.limit(0)).where("size(rejected_by) > 0").count() == 0
+
+
+def test_thresholds_are_exact(spark):
+    """A level passes exactly where the summed binomial tail says so."""
+    from math import comb
+
+    n, risk, failure = 400, 0.05, 0.05
+    for bad in (8, 9, 10, 11, 12):
+        rows = [(50, 250, 150 if i < bad else 0, 5, 0, 0, 0, 0, "x") for i in range(n)]
+        names = "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_capitals n_exclamations lang"
+        good = spark.createDataFrame(rows, names.split())
+        got = quality_rules.thresholds(good, "lang", risk, failure).collect()[0]
+        tail = sum(comb(n, k) * risk**k * (1 - risk) ** (n - k) for k in range(bad + 1))
+        assert (got.symbols_per_word is not None) == (tail <= failure), bad
+
+
+def test_near_duplicates(odd, none):
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(odd).collect()}
+    n = len(brute.shingle_set(LONG))
+    want = {(0, 0, 0), (1, 0, 1), (2, 0, 2), (3, 116, 3), (4, 116, 3), (5, 116, 3), (6, n, 6)}
+    want |= {(7, n + 1, 6), (8, 2, 8), (9, 1, 9), (None, 116, None)}
+    assert got == want
+    assert ngram_join.near_duplicates(odd).count() == 12
+    assert ngram_join.near_duplicates(none).count() == 0
+
+
+def test_join_finds_every_link_in_hot_groups(spark):
+    """Shared passages, a chain of near copies and many sizes at once."""
+    draw = np.random.default_rng(4)
+    common = " ".join(draw.choice(WORDS, 60))
+    texts = [common + " " + " ".join(draw.choice(WORDS, int(draw.integers(5, 60)))) for _ in range(120)]
+    chain = list(draw.choice(WORDS, 90))
+    for k in range(60):
+        chain[int(draw.integers(90))] = f"n{k}"
+        texts.append(" ".join(chain))
+    for k in range(1, 40):
+        texts += [" ".join(WORDS[:k]), " ".join(WORDS[: k + 1])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == brute.classes({i: brute.shingle_set(t) for i, t in enumerate(texts)})
+
+
+def test_signatures_meet():
+    """Any two sets at the threshold share a signature, and a rare shingle."""
+    draw = np.random.default_rng(7)
+    counts = draw.integers(0, 50, ngram_join.COUNTERS)
+    for size in [1, 2, 3, 4, 5, 7, 8, 9, 12, 26, 27, 30, 80, 81, 100, 243, 300, 1000]:
+        for _ in range(12):
+            a = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+            drop = int(draw.integers(0, size // 7 + 1))
+            add = int(draw.integers(0, size // 3 + 1))
+            b = np.unique(np.concatenate([a[drop:], draw.integers(0, 1 << 63, add, dtype=np.uint64)]))
+            same = len(np.intersect1d(a, b))
+            if 100 * same >= 75 * len(np.union1d(a, b)):
+                for keys in (ngram_join.signatures, lambda s, p: ngram_join.rarest(s, p, counts)):
+                    assert len(np.intersect1d(keys(a, 75), keys(b, 75)))
+
+
+def test_paragraphs(odd, none):
+    got = paragraphs.repeated(odd, least=50).collect()
+    assert {r.doc_id for r in got} == {None, 3, 4, 5, 6, 7}
+    first = [r for r in got if r.doc_id is None]
+    assert [r.removed for r in first] == [False]
+    assert paragraphs.repeated(none).count() == 0
+
+
+def test_licenses(spark, none):
+    texts = [None, "", "x Licensed under the Apache Licence, version 2.0!", "licensed under", "é MIT"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.scan(docs).collect()
+    assert [(r.doc_id, r.license, r.matched_words, r.start, r.end) for r in got] == [
+        (2, "Apache-2.0", 7, 2, 48)
+    ]
+    assert licenses.scan(none).count() == 0
+    assert licenses.scan(docs, {"none": "", "two": "licensed under"}).count() == 0
+
+
+def test_classifier(odd, none, labels):
+    got = preference.scored(odd, labels)
+    assert got.count() == 12 and got.where("score is null").count() == 0
+    assert preference.scored(none, labels).count() == 0
+    assert {r.score for r in preference.scored(odd, labels.limit(0)).collect()} == {0.7}
+
+
+def test_decontamination(spark, odd, none):
+    items = [(1, BASE), (1, BASE), (2, None), (3, ""), (None, "w7 w8"), (5, "w9"), (6, LONG)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = odd.select("doc_id", "text").collect()
+    for block in (100_000, 50):
+        decontaminate.BLOCK_WORDS = block
+        try:
+            got = decontaminate.digest(odd, bench).orderBy("doc_id").collect()
+        finally:
+            decontaminate.BLOCK_WORDS = 100_000
+        for r in got:
+            text = next(x.text for x in rows if x.doc_id == r.doc_id)
+            if text is None or len(text) < 2000:
+                words, places, met = brute.hits(text, items[:6])
+                assert (r.n_words, r.n_hit, r.n_items) == (len(words), len(places), len(met - {None}))
+            else:
+                assert r.n_hit >= 60_000 * 0.99
+    assert decontaminate.digest(none, bench).count() == 0
+    assert decontaminate.digest(odd, bench.limit(0)).where("contaminated").count() == 0
+    cut = decontaminate.removed(odd, spark.createDataFrame([(1, "ONE, two")], bench.schema), most=1.0)
+    assert cut.where("doc_id = 9").collect()[0].text == "" and cut.columns == odd.columns
+
+
+def test_automaton_on_random_words():
+    draw = np.random.default_rng(3)
+    for _ in range(150):
+        items = [(k, [b"%d" % x for x in draw.integers(0, 3, draw.integers(0, 9))]) for k in range(5)]
+        words = [b"%d" % x for x in draw.integers(0, 4, 40)]
+        spans, met = Automaton(items, 4).scan(words)
+        places = {p for a, b in spans for p in range(a, b)}
+        text = [(k, " ".join(x.decode() for x in w)) for k, w in items]
+        _, want, items_met = brute.hits(" ".join(x.decode() for x in words), text, 4)
+        assert (places, met) == (want, items_met)
+
+
+def test_secrets(spark, none):
+    body = "A1b2C3d4E5" * 3
+    signed = "ghp_" + body + secrets.checksum62(body)
+    jwt = "eyJhbGciOiJIUzI1NiJ9.e30.abc"
+    texts = [None, "", f"é {signed} ghp_{body}000000 {jwt} eyJxx.a.b", "TOKEN token: short secret=12345678"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.secret_spans for r in secrets.scan(docs).collect()}
+    assert got == {0: "", 1: "", 2: f"repo:2:42,jwt:84:{84 + len(jwt)}", 3: "assign:19:34"}
+    clean = {r.doc_id: r.text for r in secrets.scan(docs, redact="#").collect()}
+    assert clean[3] == "TOKEN token: short #" and clean[0] is None
+    assert secrets.scan(none).count() == 0
+
+
+def test_warc(spark):
+    inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    rows = [(1, "u", None), (2, None, ""), (3, "u\r\nX: 1", inner * 40), (4, "u", inner * 40)]
+    rows += [(5, "u", "x" * 99), (6, "u", "x" * 99), (7, "u", "WWARC/1.1\r\n" + "é" * 90_000)]
+    rows += [(8, "u", "y" * 100), (8, "u", "y" * 100), (None, "u", "y" * 100), (9, "u", "y" * 100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        path = fresh_path(spark, "warc")
+        warc.write(pages, path)
+        payloads = sorted(bytes(r.payload) for r in warc.read(spark, path).collect() if r.payload is not None)
+        got = sorted(
+            (r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0)
+            for r in warc.digest(pages).collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    size = len(inner) * 40
+    assert got == sorted(
+        [(1, 0, "response", 0), (2, 0, "response", 0), (3, size, "response", 0)]
+        + [(4, size, "revisit", 3), (5, 99, "response", 0), (6, 99, "response", 0)]
+        + [(7, 11 + 180_000, "response", 0), (8, 100, "response", 0), (8, 100, "response", 0)]
+        + [(0, 100, "response", 0), (9, 100, "revisit", 8)]
+    )
+    stored = [t or "" for i, _, t in rows if i not in (4, 9)]
+    assert payloads == sorted(t.encode() for t in stored)
+    assert warc.digest(pages.limit(0)).count() == 0
+
+
+def test_token_files(odd, none):
+    got = token_files.digest(odd, PATH).orderBy("start").collect()
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    order = [r.doc_id for r in got]
+    assert order == [None, 0, 1, 2, 3, 3, 4, 5, 6, 7, 8, 9]
+    assert token_files.digest(none, PATH).count() == 0
+
+
+def test_coder_round_trip_and_damage():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 2, 7, 2047, 2048, 2049, 6000):
+        for ids in (draw.integers(0, 65536, n), draw.integers(0, 3, n), np.resize([5, 9, 49_000], n)):
+            assert (token_coder.decode(token_coder.encode(ids)) == ids).all()
+    raw = bytearray(token_coder.encode(draw.integers(0, 65536, 5000)))
+    raw[len(raw) // 2] ^= 1
+    with pytest.raises(ValueError):
+        token_coder.decode(bytes(raw))
+    with pytest.raises(ValueError):
+        token_coder.encode(np.array([65536]))
+
+
+def test_packing(odd, none):
+    got = packing.packed(odd, PATH).collect()
+    assert len({(r.doc_id, r.piece) for r in got}) == 11 + sum(r.piece > 0 for r in got)
+    assert packing.packed(none, PATH).count() == 0
+    lengths = np.sort(np.random.default_rng(0).integers(1, 100, 500))[::-1]
+    for rule in ("norm", "dot"):
+        for capacity in ((100, None, None), (100, 3, None), (100, None, 5000), (100, 4, 6000)):
+            bins, offset = packing.best_fit(lengths, capacity, rule=rule)
+            for b in range(bins.max() + 1):
+                own = lengths[bins == b]
+                assert sorted(offset[bins == b]) == [*np.cumsum([0, *own[:-1]])]
+                assert own.sum() <= 100 and (capacity[1] is None or len(own) <= capacity[1])
+                assert capacity[2] is None or len(own) == 1 or (own**2).sum() <= capacity[2]
+
+
+def test_stages_take_odd_rows(spark, odd):
+    from tests.conftest import SMALL
+
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == odd.columns
+        docs.count()
+        stage(spark, odd.limit(0), SMALL).count()
