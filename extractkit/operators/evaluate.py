@@ -12,7 +12,6 @@ from extractkit.schema import DAMAGE_FIELDS, SEVERITY_FIELD
 
 # Rows evaluated by a full and by a quick run.
 MAX_EXAMPLES = 100
-QUICK_MAX_EXAMPLES = 10
 
 
 def parse_gold(gold: DataFrame, key: str = "id") -> DataFrame:
@@ -94,7 +93,7 @@ def evaluate_pairs(paired: DataFrame) -> DataFrame:
 def evaluate(
     gold: DataFrame,
     predictions: DataFrame,
-    max_examples: int | None = MAX_EXAMPLES,
+    max_examples: int | None = None,
     key: str = "id",
     order: str = "pos",
 ) -> DataFrame:

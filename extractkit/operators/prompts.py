@@ -8,26 +8,20 @@ from pyspark.sql import functions as F
 from extractkit.functions import jsonvalue as J
 from extractkit.functions.once import pin
 from extractkit.functions.text import is_blank, json_block_balanced, strip_text
-from extractkit.schema import DAMAGE_FIELDS, SEVERITY_FIELD
+from extractkit.schema import DAMAGE_FIELDS, SEVERITIES, SEVERITY_FIELD
 
 PLACEHOLDER = "{narrative_text}"
 
 # Short form, put in front of the narrative in training pairs.
-PROMPT_PREFIX = (
-    "You turn property damage reports into structured records.\n\n"
-    "Read the report and answer with one JSON object in the agreed layout.\n\n"
-    "REPORT:\n"
-)
+PROMPT_PREFIX = "Inspection notes follow; list what they establish as a damage record in JSON.\n-----\n"
 
-# Long form with the layout spelled out, used when asking a model.
+# Long form with the record described in words, used when asking a model.
 PROMPT_TEMPLATE = (
-    "You turn property damage reports into structured records.\n\n"
-    "LAYOUT:\n{\n"
-    + '  "damage": {\n'
-    + ",\n".join(f'    "{field}": boolean' for field in DAMAGE_FIELDS)
-    + '\n  },\n  "overall_severity": "low" | "moderate" | "high"\n}\n\n'
-    "Use the report alone. A doubtful flag is false. Answer with the JSON object and nothing else.\n\n"
-    "REPORT:\n<<<\n" + PLACEHOLDER + "\n>>>\n"
+    f"Inspection notes:\n-----\n{PLACEHOLDER}\n-----\n"
+    "From these notes alone, fill in a damage record and reply with that record as JSON text. "
+    f"Its key {SEVERITY_FIELD} holds one of the words {', '.join(SEVERITIES)}. "
+    "Its key damage holds an object in which each of the following keys is true if the notes establish "
+    f"it, and otherwise false: {', '.join(DAMAGE_FIELDS)}.\n"
 )
 
 

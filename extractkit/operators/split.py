@@ -26,7 +26,9 @@ Size = int | float
 
 
 def _hashed(df: DataFrame, key: str, seed: int, buckets: int) -> DataFrame:
-    df = df.withColumn("__hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
+    absent = F.raise_error(F.lit(f"a row has no {key}, which decides its split")).cast("string")
+    named = F.coalesce(F.col(key).cast("string"), absent)
+    df = df.withColumn("__hash", F.md5(F.concat(F.lit(f"{seed}:"), named)))
     lead = draws.word_value(draws.word(F.col("__hash"), 0))
     return df.withColumn("__bucket", F.shiftright(lead * F.lit(buckets).cast("bigint"), 32).cast("int"))
 
@@ -70,6 +72,7 @@ def split_exact(
     One pass over the key for the bucket counts and one shuffle of the rows. Partition i of the
     result holds bucket i in order, so the result as a whole is in shuffled order. The bucket
     count sets task size, never the result; unless given, it follows from a count of the rows.
+    A null key stops the job.
     """
     buckets = buckets or default_buckets(df)
     kept = [F.col(c) for c in df.columns]
@@ -96,7 +99,7 @@ def assign_splits(
     """Add ``split`` alone: the same membership as ``split_exact`` with no shuffle of the rows.
 
     Two cut points in hash order are found from the bucket counts and the one bucket each cut
-    falls into; then every row is placed by comparing its hash with them.
+    falls into; then every row is placed by comparing its hash with them. A null key stops the job.
     """
     kept = [F.col(c) for c in df.columns]
     hashed = _hashed(df, key, seed, buckets)
@@ -140,13 +143,27 @@ def count_gate(df: DataFrame, expected: int, strict: bool = False) -> DataFrame:
     return gate
 
 
-def missing_splits(df: DataFrame, by: str, expected: tuple[str, ...] = SPLITS) -> DataFrame:
-    """The (by, split) combinations that should be there and are not."""
+def missing_splits(
+    df: DataFrame, by: str, expected: tuple[str, ...] = SPLITS, strict: bool = False
+) -> DataFrame:
+    """The (by, split) combinations that should be there and are not.
+
+    In strict mode a missing one, or an empty table, is an error at once.
+    """
     present = df.select(by, "split").distinct()
     wanted = df.select(by).distinct().select(by, F.explode(F.array(*[F.lit(s) for s in expected])).alias("split"))
-    return wanted.join(present, [by, "split"], "left_anti")
+    missing = wanted.join(present, [by, "split"], "left_anti")
+    if strict:
+        if df.isEmpty():
+            raise ValueError("required input is empty")
+        if first := missing.head():
+            raise ValueError(f"required input is missing: {by} {first[by]}, split {first['split']}")
+    return missing
 
 
 def first_n(df: DataFrame, n: int | None, order: str = "pos") -> DataFrame:
-    """The first n rows in the given order; all of them when n is None."""
-    return df if n is None else df.orderBy(order).limit(n)
+    """The first n rows in the given order; all of them when n is None.
+
+    ``order`` numbers the rows from 1 without gaps, as ``pos`` of a split does.
+    """
+    return df if n is None else df.filter(F.col(order) <= n)

@@ -436,10 +436,15 @@ def joined(column: str) -> str:
 
 def _build() -> dict[str, str]:
     doc_pairs, order_pairs = pairs_ctes(DOCUMENTS), pairs_ctes(ORDERS)
-    one = digest(G.SEED, "one")
-    mould = PHRASES["mould"][True]
-    mould_at = f"{number(word(one, 0))} % {len(mould)}"
-    mould_list = ", ".join(lit(m) for m in mould)
+
+    def one(i: int) -> str:
+        return word(digest(G.SEED, f"one{i // 4}"), i % 4)
+
+    picked = ", ".join(
+        f"([{', '.join(map(lit, PHRASES[field][flag]))}])"
+        f"[1 + {number(one(i))} % {len(PHRASES[field][flag])}] AS {field}_{'stated' if flag else 'denied'}"
+        for i, (field, flag) in enumerate((f, b) for f in DAMAGE_FIELDS for b in (True, False))
+    )
     checked = validation_ctes(f"{order_pairs},\n{bad_lines_cte()}")
     outputs_a = f"{doc_pairs},\n{outputs_cte('a', 'oa')}"
     metric = "SELECT field, correct, denom, pct FROM report WHERE metric = '{}'".format
@@ -474,9 +479,9 @@ def _build() -> dict[str, str]:
 
     sql = {
         "bernoulli_flags": "SELECT id, "
-        + ", ".join(f"{chance(word(one, i % 4), r.p)} AS {r.field}" for i, r in enumerate(G.RATES[:4]))
+        + ", ".join(f"{chance(one(i), r.p)} AS {r.field}" for i, r in enumerate(G.RATES))
         + f" FROM ({ORDERS}) o",
-        "pick_phrase": f"SELECT id, {mould_at} AS idx, ([{mould_list}])[1 + {mould_at}] AS phrase FROM ({ORDERS}) o",
+        "pick_phrase": f"SELECT id, {picked} FROM ({ORDERS}) o",
         "damage_flags": with_(flags_ctes(ORDERS), query="SELECT * FROM flags"),
         "true_counts": with_(flags_ctes(ORDERS), query=f"SELECT id, {true_sum()} AS n_true FROM flags"),
         "severity_buckets": with_(

@@ -22,7 +22,7 @@ from extractkit.operators import validate as V
 from extractkit.operators.phrases import PHRASES
 from extractkit.operators.student import fit_student
 from extractkit.plans import inputs as I
-from extractkit.schema import REQUIRED_KEYS, SPLITS
+from extractkit.schema import DAMAGE_FIELDS, REQUIRED_KEYS, SPLITS
 from extractkit.session import configure, fresh_path
 from extractkit.sources import jsonl as L
 
@@ -54,19 +54,23 @@ def bernoulli_flags(spark, sf_dir):
     """One independent draw per order at the base rate of each field."""
     ids = I.order_ids(spark, sf_dir)
     flags = [
-        draws.bernoulli(draws.word(draws.digest(F.col("id"), G.SEED, "one"), i % 4), r.p).alias(r.field)
-        for i, r in enumerate(G.RATES[:4])
+        draws.bernoulli(draws.word(draws.digest(F.col("id"), G.SEED, f"one{i // 4}"), i % 4), r.p).alias(r.field)
+        for i, r in enumerate(G.RATES)
     ]
     return ids.select("id", *flags)
 
 
 @register
 def pick_phrase(spark, sf_dir):
-    options = PHRASES["mould"][True]
-    word = draws.word(draws.digest(F.col("id"), G.SEED, "one"), 0)
-    at = draws.pick_index(word, len(options))
-    phrase = F.element_at(F.array(*[F.lit(o) for o in options]), at.cast("int") + 1)
-    return I.order_ids(spark, sf_dir).select("id", at.alias("idx"), phrase.alias("phrase"))
+    """One uniform pick per order from each of the lists of phrases."""
+    picked = []
+    for i, (field, flag) in enumerate((f, b) for f in DAMAGE_FIELDS for b in (True, False)):
+        options = PHRASES[field][flag]
+        word = draws.word(draws.digest(F.col("id"), G.SEED, f"one{i // 4}"), i % 4)
+        at = draws.pick_index(word, len(options)).cast("int") + 1
+        name = f"{field}_{'stated' if flag else 'denied'}"
+        picked.append(F.element_at(F.array(*[F.lit(o) for o in options]), at).alias(name))
+    return I.order_ids(spark, sf_dir).select("id", *picked)
 
 
 @register
