@@ -44,9 +44,11 @@ GROUP = 6
 #: Size ratio of a band.
 BAND = 3
 #: Counters of the table of how common shingles are.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 17
 #: Bits of a set's bitmap, and of the shorter one used where many pairs are compared.
 BITS, FEW = 2048, 512
+#: Sets of more elements have a wider bitmap too, which is compared before whole sets travel.
+LARGE, WIDE = 1000, 32_768
 
 _CLASS = word_class(SPACES)
 
@@ -179,12 +181,16 @@ def _counted(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(counter), pa.array(n)], ["counter", "n"])
 
 
-def _bitmap(a_set: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, dtype=bool)
-    bits[(a_set >> np.uint64(20)) & np.uint64(BITS - 1)] = True
+def _bitmap(a_set: np.ndarray, n: int) -> np.ndarray:
+    bits = np.zeros(n, dtype=bool)
+    bits[(a_set >> np.uint64(20)) & np.uint64(n - 1)] = True
     return np.packbits(bits).view(np.int64)
 
 
+#: Columns of sets.
+SETS = "id long, size long, bits array<long>, wide array<long>, shingles array<long>"
+
+
 def set_columns(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
     """Ids with size, bitmap and shingles of their sets."""
 
@@ -194,9 +200,12 @@ def set_columns(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     size = pa.array(np.array([len(s) for s in sets], dtype=np.int64))
-    bits = arrays([_bitmap(s) for s in sets])
+    bits = arrays([_bitmap(s, BITS) for s in sets])
+    none = np.empty(0, dtype=np.int64)
+    wide = arrays([_bitmap(s, WIDE) if len(s) > LARGE else none for s in sets])
     whole = arrays([s.view(np.int64) for s in sets])
-    return pa.RecordBatch.from_arrays([ids, size, bits, whole], ["id", "size", "bits", "shingles"])
+    columns = [ids, size, bits, wide, whole]
+    return pa.RecordBatch.from_arrays(columns, SETS.replace(",", "").split()[::2])
 
 
 def _whole(ids: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +262,18 @@ def _checked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
     bits, near = _bits(sets, BITS // 64), _near(BITS // 64, percent)
     close = pairs.join(_side(bits, "a"), "a").join(_side(bits, "b"), "b").where(near)
-    close = saved(close.select("a", "b"), "close-pairs")
+    close = saved(close.select("a", "b", "na", "nb"), "close-pairs")
+    wide = sets.where(F.col("size") > LARGE).select("id", "wide")
+    large = F.least("na", "nb") > LARGE
+    both = close.where(large).join(_side(wide, "a"), "a").join(_side(wide, "b"), "b")
+    apart = F.aggregate(
+        F.zip_with("widea", "wideb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0),
+        lambda n, x: n + x,
+    )
+    both = both.where(apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+    close = close.where(~large).select("a", "b").unionByName(both.select("a", "b"))
+    close = saved(close, "close-pairs")
     whole = sets.select("id", "shingles")
     close = close.join(_side(whole, "a"), "a").join(_side(whole, "b"), "b")
     common = F.size(F.array_intersect("seta", "setb"))
@@ -296,7 +316,16 @@ def spanning_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ``met`` is from ``grouped``; ``sets`` has the columns of ``set_columns`` for its ids.
     """
-    links = _checked(sets, saved(_star(met), "pairs"), percent)
+    pairs = saved(_star(met), "pairs")
+    # whole sets travel to be checked: one pair of each id first, then what isn't joined by that
+    one = saved(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    links = _checked(sets, one, percent)
+    joined = components(links)
+    ends = joined.select(F.col("id").alias("a"), F.col("component").alias("ca"))
+    rest = pairs.join(one, ["a", "b"], "left_anti").join(ends, "a", "left")
+    rest = rest.join(ends.withColumnsRenamed({"a": "b", "ca": "cb"}), "b", "left")
+    rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    links = links.unionByName(_checked(sets, saved(rest, "pairs"), percent))
     more = _apart(met.where("n > 3"), components(links), sets, percent)
     return links.unionByName(_checked(sets, saved(more, "pairs"), percent))
 
@@ -326,8 +355,7 @@ def links_of(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     again = saved(grouped(second), "groups")
     met = groups.where(F.col("n") <= GROUP).unionByName(again)
     ids = saved(met.select("id").distinct(), "pair-ids")
-    shape = "id long, size long, bits array<long>, shingles array<long>"
-    sets = saved(_only(docs, ids).mapInArrow(_per_batch(words, _whole), shape), "shingle-sets")
+    sets = saved(_only(docs, ids).mapInArrow(_per_batch(words, _whole), SETS), "shingle-sets")
     return spanning_links(met, sets, percent)
 
 
