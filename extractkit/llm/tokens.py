@@ -2,7 +2,8 @@
 
 The vocabulary drops white space and never joins across it, so a text has the ids of its words one
 after the other. Words are the runs between ASCII white space; each distinct word is encoded by the
-library once per task while the cache holds it.
+library once per task while the cache holds it. New words go to the library fifty to a call, with one
+of the vocabulary's special tokens between them, whose id shows where each word ends.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ import numpy as np
 from extractkit.llm.textscan import groups
 
 #: Words and their characters kept between batches.
-CACHED_WORDS, CACHED_CHARS = 200_000, 8_000_000
+CACHED_WORDS, CACHED_CHARS = 400_000, 16_000_000
+#: Words in one call of the library.
+JOINED = 50
 #: Id appended to each document.
 END = 1
 
@@ -26,25 +29,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [token.content for token in added.values()]
+        self.mark = next(
+            (
+                (token.content, number)
+                for number, token in added.items()
+                if token.special and not (token.lstrip or token.rstrip or token.single_word)
+            ),
+            None,
+        )
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.first, self.size, self.flat = [], [], []
-        self.total = self.chars = 0
+        self.number: dict[str | None, int] = {None: 0}
+        self.size, self.flat = np.ones(1, dtype=np.int64), np.array([END], dtype=np.uint32)
+        self.first = np.zeros(1, dtype=np.int64)
+        self.chars = 0
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        flat = np.array([i for ids in coded for i in ids], dtype=np.uint32)
+        return np.array([len(ids) for ids in coded], dtype=np.int64), flat
+
+    def _coded(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of ids and the ids of each ``JOINED`` words in turn."""
+        parts = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for i in range(0, len(parts), 100):
+            some = parts[i : i + 100]
+            if self.mark is None:
+                yield from map(self._alone, some)
+                continue
+            mark, number = self.mark
+            coded = self.tokenizer.encode_batch_fast(
+                [mark.join(part) for part in some], add_special_tokens=False
+            )
+            for part, code in zip(some, coded, strict=True):
+                ids = np.array(code.ids, dtype=np.uint32)
+                is_mark = ids == number
+                ends = np.flatnonzero(is_mark)
+                plain = " ".join(part)
+                if len(ends) != len(part) - 1 or any(token in plain for token in self.added):
+                    yield self._alone(part)
+                else:
+                    bounds = np.concatenate([[-1], ends, [len(ids)]])
+                    yield np.diff(bounds) - 1, ids[~is_mark]
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.number]
-        for i in range(0, len(new), 5_000):
-            part = new[i : i + 5_000]
-            coded = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            for word, code in zip(part, coded, strict=True):
-                self.number[word] = len(self.first)
-                self.first.append(self.total)
-                self.size.append(len(code.ids))
-                self.flat.append(np.array(code.ids, dtype=np.uint32))
-                self.total += len(code.ids)
-                self.chars += len(word)
+        if not new:
+            return
+        sizes, flats = zip(*self._coded(new), strict=True)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.size = np.concatenate([self.size, *sizes])
+        self.flat = np.concatenate([self.flat, *flats])
+        self.first = np.cumsum(self.size) - self.size
+        self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text in turn, with the end id; null is empty."""
@@ -56,19 +96,10 @@ class Encoder:
                 split.append([*text.split(" "), None])
             if len(self.number) > CACHED_WORDS or self.chars > CACHED_CHARS:
                 self._clear()
-            if None not in self.number:
-                self.number[None] = len(self.first)
-                self.first.append(self.total)
-                self.size.append(1)
-                self.flat.append(np.array([END], dtype=np.uint32))
-                self.total += 1
-            self._learn({w for words in split for w in words if w is not None})
-            flat = np.concatenate(self.flat)
-            self.flat = [flat]
-            first, size = np.array(self.first), np.array(self.size)
+            self._learn({w for words in split for w in words})
             for words in split:
                 at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-                n = size[at]
+                n = self.size[at]
                 ends = np.cumsum(n)
-                place = np.arange(ends[-1]) + np.repeat(first[at] - (ends - n), n)
-                yield flat[place]
+                place = np.arange(ends[-1]) + np.repeat(self.first[at] - (ends - n), n)
+                yield self.flat[place]
