@@ -2,7 +2,7 @@
 
 The vocabulary drops white space and never joins across it, so a text has the ids of its words one
 after the other. Words are the runs between ASCII white space; each distinct word is encoded by the
-library once per task while the cache holds it. New words go to the library fifty to a call, with one
+library once per task while the cache holds it. New words go to the library a hundred to a text, with one
 of the vocabulary's special tokens between them, whose id shows where each word ends.
 """
 
@@ -16,9 +16,9 @@ import numpy as np
 from extractkit.llm.textscan import groups
 
 #: Words and their characters kept between batches.
-CACHED_WORDS, CACHED_CHARS = 400_000, 16_000_000
-#: Words in one call of the library.
-JOINED = 50
+CACHED_WORDS, CACHED_CHARS = 1_000_000, 32_000_000
+#: New words joined to one text for the library.
+JOINED = 100
 #: Id appended to each document.
 END = 1
 
@@ -76,7 +76,7 @@ class Encoder:
                     yield np.diff(bounds) - 1, ids[~is_mark]
 
     def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.number]
+        new = sorted(w for w in words if w not in self.number)
         if not new:
             return
         sizes, flats = zip(*self._coded(new), strict=True)
@@ -96,7 +96,7 @@ class Encoder:
                 split.append([*text.split(" "), None])
             if len(self.number) > CACHED_WORDS or self.chars > CACHED_CHARS:
                 self._clear()
-            self._learn({w for words in split for w in words})
+            self._learn(set().union(*split))
             for words in split:
                 at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
                 n = self.size[at]
