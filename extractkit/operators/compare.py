@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
+from extractkit.functions.once import pin
 from extractkit.functions.text import json_block_balanced
 
 MISSING = "<missing>"
@@ -31,46 +32,8 @@ def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, leaves).drop(f"__{out}_value")
 
 
-def path_union(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Distinct paths of two flattened tables."""
-    return left.select(key, "path").union(right.select(key, "path")).distinct()
-
-
-def compare_paths(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Full outer match of two flattened tables on (key, path).
-
-    ``value_a`` / ``value_b`` are ``<missing>`` where the side has no such path. Missing and null
-    count as equal.
-    """
-    a = left.select(key, "path", F.col("value").alias("a"))
-    b = right.select(key, "path", F.col("value").alias("b"))
-    joined = a.join(b, [key, "path"], "full_outer")
-    return joined.select(
-        key,
-        "path",
-        _shown(F.col("a")).alias("value_a"),
-        _shown(F.col("b")).alias("value_b"),
-        J.same_text(F.col("a"), F.col("b")).alias("is_match"),
-    )
-
-
-def _shown(leaf: Column) -> Column:
-    return F.coalesce(J.canonical(leaf), F.lit(MISSING))
-
-
-def compare_summary(compared: DataFrame, key: str = "id") -> DataFrame:
-    """key, keys, matches, pct from compared paths."""
-    totals = compared.groupBy(key).agg(F.count("*").alias("keys"), F.count_if("is_match").alias("matches"))
-    return totals.withColumn("pct", F.try_divide(F.lit(100.0) * F.col("matches"), F.col("keys")))
-
-
-def compare_mismatches(compared: DataFrame, key: str = "id") -> DataFrame:
-    """Paths that differ, by key and path, with both values."""
-    return compared.filter(~F.col("is_match")).select(key, "path", "value_a", "value_b").orderBy(key, "path")
-
-
 def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """key, rejected, and a map of path -> match per key.
+    """key, rejected, and per key a map of path -> (a, b, is_match).
 
     The one join pairs the raw texts; they are parsed and matched inside the row, so eleven paths
     per text never become eleven shuffled rows. A text without a JSON object, or absent, rejects
@@ -85,7 +48,7 @@ def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     both = F.map_zip_with(
         F.col("a"),
         F.col("b"),
-        lambda path, x, y: J.same_text(x, y),
+        lambda path, x, y: F.struct(x.alias("a"), y.alias("b"), J.same_text(x, y).alias("is_match")),
     )
     return paired.select(
         key,
@@ -100,13 +63,51 @@ def compare_models(left: DataFrame, right: DataFrame, key: str = "id") -> DataFr
     values = F.map_values(F.col("paths"))
     keys = F.when(F.col("paths").isNotNull(), F.size("paths")).cast("bigint")
     matches = F.when(
-        F.col("paths").isNotNull(), F.size(F.filter(values, lambda v: v))
+        F.col("paths").isNotNull(), F.size(F.filter(values, lambda v: v["is_match"]))
     ).cast("bigint")
     return matched.select(key, "rejected", keys.alias("keys"), matches.alias("matches")).withColumn(
         "pct", F.try_divide(F.lit(100.0) * F.col("matches"), F.col("keys"))
     )
 
 
+def compare_summary(compared: DataFrame, key: str = "id") -> DataFrame:
+    """key, keys, matches, pct of the keys that ``compare_models`` accepted and found paths in."""
+    return pin(compared, "keys").filter(F.col("keys") > 0).select(key, "keys", "matches", "pct")
+
+
+def compare_paths(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+    """One row per path of either output of each accepted key: key, path, value_a, value_b, is_match.
+
+    ``value_a`` / ``value_b`` are ``<missing>`` where the side has no such path. Missing and null
+    count as equal. Keys that ``compare_models`` rejects have no rows. Paths appear after the join,
+    so they are never shuffled.
+    """
+    matched = match_outputs(left, right, key)
+    rows = matched.select(key, F.explode_outer("paths").alias("path", "pair")).filter(F.col("path").isNotNull())
+    return rows.select(
+        key,
+        "path",
+        _shown(F.col("pair.a")).alias("value_a"),
+        _shown(F.col("pair.b")).alias("value_b"),
+        F.col("pair.is_match").alias("is_match"),
+    )
+
+
+def _shown(leaf: Column) -> Column:
+    return F.coalesce(J.canonical(leaf), F.lit(MISSING))
+
+
+def path_union(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+    """Distinct paths of both outputs of each accepted key."""
+    return compare_paths(left, right, key).select(key, "path")
+
+
+def compare_mismatches(compared: DataFrame, key: str = "id") -> DataFrame:
+    """Paths that differ, with both values, in order of key and path within each partition."""
+    differing = compared.filter(~F.col("is_match")).select(key, "path", "value_a", "value_b")
+    return differing.sortWithinPartitions(key, "path")
+
+
 def model_agreement(compared: DataFrame) -> DataFrame:
     """One row over all keys: compared and rejected texts, keys, matches, pct."""
     totals = compared.agg(

@@ -288,7 +288,8 @@ def two_flat() -> str:
 COMPARED = """compared AS (SELECT coalesce(a.id, b.id) AS id, coalesce(a.path, b.path) AS path,
     coalesce(a.value, '<missing>') AS value_a, coalesce(b.value, '<missing>') AS value_b,
     nullif(a.value, 'null') IS NOT DISTINCT FROM nullif(b.value, 'null') AS is_match
-    FROM fa a FULL OUTER JOIN fb b ON a.id = b.id AND a.path = b.path)"""
+    FROM fa a FULL OUTER JOIN fb b ON a.id = b.id AND a.path = b.path
+    WHERE coalesce(a.id, b.id) IN (SELECT x.id FROM fa_ok x JOIN fb_ok y ON x.id = y.id))"""
 
 MODELS = """per_id AS (SELECT id, count(*) AS keys, sum(is_match::BIGINT)::BIGINT AS matches FROM compared GROUP BY id),
 sides AS (SELECT coalesce(a.id, b.id) AS id, coalesce(json_valid(a.block), false) AS ok_a,
@@ -605,7 +606,9 @@ def _build() -> dict[str, str]:
         "eval_fields": with_(eval_ctes(), query=metric("field_accuracy")),
         "eval_severity": with_(eval_ctes(), query=metric("severity_accuracy")),
         "path_union": with_(
-            two_flat(), query="SELECT DISTINCT id, path FROM (SELECT id, path FROM fa UNION SELECT id, path FROM fb) u"
+            two_flat(),
+            query="SELECT id, path FROM (SELECT id, path FROM fa UNION SELECT id, path FROM fb) u "
+            "WHERE id IN (SELECT x.id FROM fa_ok x JOIN fb_ok y ON x.id = y.id)",
         ),
         "compare_paths": with_(two_flat(), COMPARED, query="SELECT id, path, value_a, value_b, is_match FROM compared"),
         "compare_summary": with_(

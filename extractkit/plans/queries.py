@@ -85,7 +85,7 @@ def true_counts(spark, sf_dir):
 
 @register
 def severity_buckets(spark, sf_dir):
-    """Rows and mean flag count per severity."""
+    """Rows per severity and flag count."""
     counted = G.damage_flags(I.order_ids(spark, sf_dir)).select(true_count().alias("n_true"))
     return (
         counted.groupBy(severity_bucket(F.col("n_true")).alias("severity"), "n_true")
@@ -367,33 +367,24 @@ def _outputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return I.model_outputs(pairs, "a"), I.model_outputs(pairs, "b")
 
 
-def _flat(outputs: DataFrame) -> DataFrame:
-    blocks = outputs.select("id", json_block_balanced(F.col("raw_output")).alias("block"))
-    return C.flatten_table(blocks, "block")
-
-
 @register
 def path_union(spark, sf_dir):
-    a, b = _outputs(spark, sf_dir)
-    return C.path_union(_flat(a), _flat(b))
+    return C.path_union(*_outputs(spark, sf_dir))
 
 
 @register
 def compare_paths(spark, sf_dir):
-    a, b = _outputs(spark, sf_dir)
-    return C.compare_paths(_flat(a), _flat(b))
+    return C.compare_paths(*_outputs(spark, sf_dir))
 
 
 @register
 def compare_summary(spark, sf_dir):
-    a, b = _outputs(spark, sf_dir)
-    return C.compare_summary(C.compare_paths(_flat(a), _flat(b)))
+    return C.compare_summary(C.compare_models(*_outputs(spark, sf_dir)))
 
 
 @register
 def compare_mismatches(spark, sf_dir):
-    a, b = _outputs(spark, sf_dir)
-    return C.compare_mismatches(C.compare_paths(_flat(a), _flat(b)))
+    return C.compare_mismatches(C.compare_paths(*_outputs(spark, sf_dir)))
 
 
 @register
