@@ -233,6 +233,22 @@ def test_coder_round_trip_and_damage():
         token_coder.encode(np.array([65536]))
 
 
+def test_encoder_is_the_library():
+    """Also where texts hold the special tokens that the encoder puts between words."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from extractkit.llm.tokens import END, Encoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    odd = ["a<|endoftext|>b c <|startoftext|>", "<|endoftext|", "  ", "", None, "\x00 \u0301 e\u0301 x\u00a0y\u2003z"]
+    odd += ["it's<|endoftext|>", "<|startoftext|> <|startoftext|>", " ".join(f"Word{i}," for i in range(450))]
+    plain, coder = Tokenizer.from_file(path), Encoder(path)
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, END] for t in odd]
+    for _ in range(2):
+        assert [ids.tolist() for ids in coder.encode(odd)] == want
+
+
 def test_packing(odd, none):
     got = packing.packed(odd, PATH).collect()
     assert len({(r.doc_id, r.piece) for r in got}) == 11 + sum(r.piece > 0 for r in got)
