@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from extractkit.session import REQUIRED_CONF
+
 # The characters JSON allows around values.
 JSON_SPACE = " \t\n\r"
 
@@ -14,8 +16,11 @@ def parse_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     ``try_parse_json`` ignores text after the value. So the text is parsed as the first of two
     array elements, the second being the text's own hash: the pair comes back whole only if the
-    text was one complete value. Two projections, each text parsed once.
+    text was one complete value. Two projections, each text parsed once. The settings that decide
+    on repeated keys are applied to the session here, whether or not the caller configured it.
     """
+    for setting, value in REQUIRED_CONF.items():
+        df.sparkSession.conf.set(setting, value)
     staged = {f"__{name}": F.struct(text.alias("t"), _seal(text).alias("seal")) for name, text in columns.items()}
     df = df.withColumns(staged)
     df = df.withColumns({name: _sealed_array(F.col(name)) for name in staged})

@@ -81,3 +81,13 @@ def test_strict_required_input(spark):
         S.missing_splits(rows, "by", strict=True)
     with pytest.raises(ValueError, match="empty"):
         S.missing_splits(rows.limit(0), "by", strict=True)
+
+
+def test_repeated_keys_in_an_unconfigured_session(spark):
+    from extractkit.operators.compare import flatten_table
+    from extractkit.session import REQUIRED_CONF
+
+    for setting in REQUIRED_CONF:
+        spark.conf.unset(setting)
+    texts = spark.createDataFrame([(1, '{"a":1,"a":2}')], "id int, t string")
+    assert [(r.path, r.value) for r in flatten_table(texts, "t").collect()] == [("a", "2")]
