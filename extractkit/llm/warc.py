@@ -6,9 +6,9 @@ it.
 
 Reading: archives are cut at the bytes that open a record, wherever they stand, also inside payloads,
 and large files in any number of blocks. Every piece is a candidate record; its declared length gives
-the offset of its successor. From offset 0 of each file, pointer jumping marks the candidates that can
-be reached: in each round what is marked marks what it points to, and all pointers double. Candidates
-inside payloads are never reached. Pieces between two reached records belong to the first of them.
+the offset of its successor. From offset 0 of each file, pointer jumping marks the runs of candidates
+that can be reached: in each round what is marked marks what it points to, and all pointers double.
+Candidates inside payloads are never reached; a negative length is no record. Pieces between two reached records belong to the first of them.
 """
 
 from __future__ import annotations
@@ -94,8 +94,8 @@ def write(
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """The bytes between the places where the opening bytes of a record stand.
 
-    Columns: file, start (offset of the opening bytes, -10 for what stands before the first), data
-    (what follows them, binary). Offsets come from one scan: within a block of the file they are sums
+    Columns: file, block, start (offset of the opening bytes, -10 for what stands before the first),
+    data (what follows them, binary), size. Offsets come from one scan: within a block of the file they are sums
     of the lengths before, and blocks follow each other.
     """
     read = spark.read.option("lineSep", MAGIC).text(path)
@@ -122,7 +122,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     blocks = saved(blocks, "blocks")
     placed = cut.withColumn("inner", F.coalesce(F.sum(step).over(inside), F.lit(0)))
     return placed.join(small_side(blocks, blocks.count()), ["file", "block"]).select(
-        "file", (F.col("base") + F.col("inner") - len(MAGIC)).alias("start"), "data", "size"
+        "file", "block", (F.col("base") + F.col("inner") - len(MAGIC)).alias("start"), "data", "size"
     )
 
 
@@ -138,29 +138,45 @@ def _field(head: Column, name: str) -> Column:
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
-    """(file, start) of the candidates (file, start, next) that a chain from start 0 reaches.
+    """(file, start, next) of the candidates (file, block, start, next) that a chain from start 0 reaches.
 
-    Pointer jumping: ceil(log2(records of the longest file)) + 1 rounds of joins of narrow rows.
+    Candidates of a block that follow each other without a gap are one run: whoever reaches one of
+    them reaches those after it. Pointer jumping goes over runs, not records: ceil(log2(runs of the
+    longest chain)) + 1 rounds of joins of narrow rows. An archive without opening bytes in payloads
+    has one run a block.
     """
-    jump = saved(candidates.select("file", "start", "next"), "jumps")
-    marked = saved(jump.where("start = 0").select("file", "start"), "marked")
+    near = Window.partitionBy("file", "block").orderBy("start")
+    head = F.lag("next").over(near).eqNullSafe(F.col("start"))
+    runs_of = candidates.withColumn("head", F.when(~head, F.col("start"))).select(
+        "file", "start", "next", F.last("head", ignorenulls=True).over(near).alias("run")
+    )
+    placed = saved(runs_of, "runs-of-records")
+    runs = saved(placed.groupBy("file", "run").agg(F.max("next").alias("entry")), "runs")
+    n_runs = runs.count()
+    targets = placed.select("file", F.col("start").alias("entry"), F.col("run").alias("to"))
+    links = saved(targets.join(small_side(runs, n_runs, 300_000), ["file", "entry"]), "links")
+    jump = links.select("file", "run", "to")
+    marked = runs.where("run = 0").select("file", "run")
     n = marked.count()
     while n:
-        hop = marked.join(jump, ["file", "start"]).select("file", F.col("next").alias("start"))
-        known = candidates.select("file", "start")
-        grown = saved(
-            marked.unionByName(hop.join(known, ["file", "start"], "left_semi")).distinct(), "marked"
-        )
+        hop = jump.join(small_side(marked, n, 300_000), ["file", "run"])
+        hop = hop.select("file", F.col("to").alias("run"))
+        grown = saved(marked.unionByName(hop).distinct(), "marked")
         total = grown.count()
         if total == n:
-            return grown
+            break
         marked, n = grown, total
-        onward = jump.select("file", F.col("start").alias("next"), F.col("next").alias("after"))
-        jump = saved(
-            jump.join(onward, ["file", "next"]).select("file", "start", F.col("after").alias("next")),
-            "jumps",
-        )
-    return marked
+        onward = jump.select("file", F.col("run").alias("to"), F.col("to").alias("after"))
+        jump = jump.join(small_side(onward, n_runs, 300_000), ["file", "to"])
+        jump = saved(jump.select("file", "run", F.col("after").alias("to")), "jumps")
+    # a chain enters a run once; what stands before that place in the run is not on it
+    entered = links.join(small_side(marked, n, 300_000), ["file", "run"], "left_semi")
+    entered = entered.select("file", F.col("to").alias("run"), "entry").unionByName(
+        marked.where("run = 0").select("file", "run", F.lit(0).cast("long").alias("entry"))
+    )
+    entered = entered.groupBy("file", "run").agg(F.min("entry").alias("entry"))
+    reached = placed.join(small_side(entered, n, 300_000), ["file", "run"]).where("start >= entry")
+    return reached.select("file", "start", "next")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -176,11 +192,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     length = _field(head, "Content-Length").try_cast("long")
     follows = F.col("start") + len(MAGIC) + F.length(head) + length + len(ENDS)
     candidates = saved(
-        cut.where("start >= 0").select("file", "start", follows.alias("next")).where("next is not null"),
+        cut.where(F.col("start") >= 0)
+        .select("file", "block", "start", F.when(length >= 0, follows).alias("next"))
+        .where("next is not null"),
         "candidates",
     )
-    marked = reachable(candidates).withColumn("real", F.lit(True))
-    ends = candidates.join(marked, ["file", "start"])
+    ends = saved(reachable(candidates), "reached").withColumn("real", F.lit(True))
     whole = saved(cut.join(ends, ["file", "start"], "left"), "records")
     # a payload with opening bytes in it was cut: put its pieces together again
     short = F.col("start") + len(MAGIC) + F.col("size") < F.col("next")
