@@ -91,54 +91,63 @@ def write(
     rows.select(record.alias("value")).write.option("lineSep", ENDS).text(path)
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The bytes between the places where the opening bytes of a record stand.
+def _header(data: Column) -> Column:
+    """The header lines of a piece, as text, or null if they do not end within it."""
+    end = F.locate(ENDS, F.decode(F.substring(data, 1, 16_384), "ISO-8859-1"))
+    return F.when(end > 0, F.decode(F.substring(data, F.lit(1), end + 3), "ISO-8859-1"))
 
-    Columns: file, block, start (offset of the opening bytes, -10 for what stands before the first),
-    data (what follows them, binary), size. Offsets come from one scan: within a block of the file they are sums
-    of the lengths before, and blocks follow each other.
+
+def _field(head: Column, name: str) -> Column:
+    value = F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
+    return F.when(value != "", value)
+
+
+def pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The bytes between the places where the opening bytes of a record stand, and where they stand.
+
+    First table: place (a number), file, block, data (what follows the opening bytes, binary), size,
+    head (the header lines, null if they do not end within it). Second: place, file, block, size, start
+    (offset of the opening bytes, -10 for what stands before the first), next (where the declared
+    length says that a record opened there ends, or null). Offsets are sums of the lengths before: of
+    pieces in a block of the file and of its blocks. Data stays where the one scan put it.
     """
-    read = spark.read.option("lineSep", MAGIC).text(path)
-    cut = read.select(
+    text = spark.read.option("lineSep", MAGIC).text(path)
+    data = F.col("value").cast("binary")
+    cut = text.select(
+        F.monotonically_increasing_id().alias("place"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        F.col("value").cast("binary").alias("data"),
+        data.alias("data"),
         F.octet_length("value").cast("long").alias("size"),
+        _header(data).alias("head"),
     )
     cut = saved(cut, "pieces")
+    length = _field(F.col("head"), "Content-Length").try_cast("long")
+    reach = F.when(length >= 0, len(MAGIC) + F.length("head") + length + len(ENDS))
     step = F.col("size") + len(MAGIC)
-    sizes = cut.select("file", "block", "place", step.alias("step"))
-    blocks = sizes.groupBy("file", "block").agg(F.sum("step").alias("sum"))
+    narrow = saved(cut.select("place", "file", "block", "size", reach.alias("reach")), "lengths")
+    blocks = narrow.groupBy("file", "block").agg(F.sum(step).alias("sum"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
         "file", "block", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base")
     )
+    blocks = saved(blocks, "blocks")
     inside = (
         Window.partitionBy("file", "block")
         .orderBy("place")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    blocks = saved(blocks, "blocks")
-    placed = cut.withColumn("inner", F.coalesce(F.sum(step).over(inside), F.lit(0)))
-    return placed.join(small_side(blocks, blocks.count()), ["file", "block"]).select(
-        "file", "block", (F.col("base") + F.col("inner") - len(MAGIC)).alias("start"), "data", "size"
+    placed = narrow.withColumn("inner", F.coalesce(F.sum(step).over(inside), F.lit(0)))
+    placed = placed.join(small_side(blocks, blocks.count()), ["file", "block"]).withColumn(
+        "start", F.col("base") + F.col("inner") - len(MAGIC)
     )
-
-
-def _header(data: Column) -> Column:
-    """The header lines of a piece, as text, or null if they do not end within it."""
-    end = F.locate(ENDS, F.decode(F.substring(data, 1, 16_384), "ISO-8859-1"))
-    return F.when(end > 0, F.decode(F.substring(data, F.lit(1), end + 3), "ISO-8859-1"))
-
-
-def _field(head: Column, name: str) -> Column:
-    value = F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
-    return F.when(value != "", value)
+    follows = F.when(F.col("start") >= 0, F.col("start") + F.col("reach"))
+    spots = placed.select("place", "file", "block", "size", "start", follows.alias("next"))
+    return cut, saved(spots, "spots")
 
 
 def reachable(candidates: DataFrame) -> DataFrame:
-    """(file, start, next) of the candidates (file, block, start, next) that a chain from start 0 reaches.
+    """The places of the candidates (place, file, block, start, next) that a chain from start 0 reaches.
 
     Candidates of a block that follow each other without a gap are one run: whoever reaches one of
     them reaches those after it. Pointer jumping goes over runs, not records: ceil(log2(runs of the
@@ -148,7 +157,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
     near = Window.partitionBy("file", "block").orderBy("start")
     head = F.lag("next").over(near).eqNullSafe(F.col("start"))
     runs_of = candidates.withColumn("head", F.when(~head, F.col("start"))).select(
-        "file", "start", "next", F.last("head", ignorenulls=True).over(near).alias("run")
+        "place", "file", "start", "next", F.last("head", ignorenulls=True).over(near).alias("run")
     )
     placed = saved(runs_of, "runs-of-records")
     runs = saved(placed.groupBy("file", "run").agg(F.max("next").alias("entry")), "runs")
@@ -175,59 +184,52 @@ def reachable(candidates: DataFrame) -> DataFrame:
         marked.where("run = 0").select("file", "run", F.lit(0).cast("long").alias("entry"))
     )
     entered = entered.groupBy("file", "run").agg(F.min("entry").alias("entry"))
-    reached = placed.join(small_side(entered, n, 300_000), ["file", "run"]).where("start >= entry")
-    return reached.select("file", "start", "next")
+    reached = placed.join(small_side(entered, n, 300_000), ["file", "run"])
+    return reached.where("start >= entry").select("place")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives in ``path``.
 
-    Columns: file, start, type, record_id, url, refers_to, digest (header fields), http, payload binary
-    (null for revisit records), payload_bytes long (of the full payload; of a revisited one from the
-    stored HTTP header). Anything that no chain from a file's start reaches is no record; a file that does not
-    open with a record has none.
+    Columns: file, place (its order in the file), type, record_id, url, refers_to, digest (header
+    fields), http, payload binary (null for revisit records), payload_bytes long (of the full payload; of
+    a revisited one from the stored HTTP header). Anything that no chain from a file's start reaches is
+    no record; a file that does not open with a record has none.
+
+    Only pieces that are not a whole record each, which an archive without opening bytes in payloads
+    has one of a file, are joined with others; the rest are parsed where they are.
     """
-    cut = saved(pieces(spark, path), "placed")
-    head = _header(F.col("data"))
-    length = _field(head, "Content-Length").try_cast("long")
-    follows = F.col("start") + len(MAGIC) + F.length(head) + length + len(ENDS)
-    candidates = saved(
-        cut.where(F.col("start") >= 0)
-        .select("file", "block", "start", F.when(length >= 0, follows).alias("next"))
-        .where("next is not null"),
-        "candidates",
-    )
-    ends = saved(reachable(candidates), "reached").withColumn("real", F.lit(True))
-    whole = saved(cut.join(ends, ["file", "start"], "left"), "records")
+    cut, spots = pieces(spark, path)
+    marked = reachable(spots.where("next is not null")).withColumn("real", F.lit(True))
+    spots = spots.join(marked, "place", "left")
+    whole = F.col("start") + len(MAGIC) + F.col("size") >= F.col("next")
+    odd = saved(spots.where(~F.coalesce(F.col("real") & whole, F.lit(False))), "odd-pieces")
+    records = cut.join(small_side(odd.select("place"), odd.count()), "place", "left_anti")
     # a payload with opening bytes in it was cut: put its pieces together again
-    short = F.col("start") + len(MAGIC) + F.col("size") < F.col("next")
-    opened = whole.where(F.col("real") & short)
-    strays = whole.where("real is null and start >= 0")
-    last = F.last(F.when(F.col("real"), F.struct("start", "next")), ignorenulls=True).over(
+    owner = F.last(F.when(F.col("real"), F.struct("place", "next")), ignorenulls=True).over(
         Window.partitionBy("file").orderBy("start")
     )
-    inside = (
-        opened.unionByName(strays)
-        .withColumn("owner", last)
-        .where("real is null and start < owner.next")
-        .select("file", F.col("owner.start").alias("start"), F.col("start").alias("at"), "data")
-        .groupBy("file", "start")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "data"))).alias("more"))
+    parts = (
+        odd.withColumn("owner", owner)
+        .where("start < owner.next")
+        .select("place", F.col("owner.place").alias("owner"), F.col("start").alias("at"))
     )
-    magic = F.lit(MAGIC.encode())
-    joined = opened.join(inside, ["file", "start"], "left").withColumn(
-        "data",
-        F.aggregate(
-            F.coalesce("more", F.array().cast("array<struct<at:bigint,data:binary>>")),
-            F.col("data"),
-            lambda data, x: F.concat(data, magic, x["data"]),
-        ),
+    parts = saved(parts, "parts")
+    data = F.transform(F.sort_array(F.collect_list(F.struct("at", "data"))), lambda x: F.hex(x["data"]))
+    joined = (
+        cut.join(small_side(parts, parts.count()), "place")
+        .groupBy("owner")
+        .agg(
+            F.first("file").alias("file"),
+            F.min_by("head", "at").alias("head"),
+            F.unhex(F.array_join(data, MAGIC.encode().hex())).alias("data"),
+        )
     )
-    records = whole.where(F.col("real") & ~short).unionByName(joined.select(*whole.columns))
-    parsed = records.select("file", "start", "data", _header(F.col("data")).alias("head"))
+    columns = ["place", "file", "head", "data"]
+    records = records.select(columns).unionByName(joined.withColumnRenamed("owner", "place"))
     length = _field(F.col("head"), "Content-Length").cast("int")
     block = F.substring("data", F.length("head") + 1, length)
-    parsed = parsed.select("file", "start", "head", block.alias("block")).withColumn(
+    parsed = records.select("file", "place", "head", block.alias("block")).withColumn(
         "http", _header(F.col("block"))
     )
     kind = _field(F.col("head"), "WARC-Type")
@@ -238,7 +240,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     digest = _field(F.col("head"), "WARC-Payload-Digest")
     return parsed.select(
         "file",
-        "start",
+        "place",
         kind.alias("type"),
         _field(F.col("head"), "WARC-Record-ID").alias("record_id"),
         _field(F.col("head"), "WARC-Target-URI").alias("url"),
