@@ -11,10 +11,10 @@ from extractkit.session import fresh_path
 BROADCAST_ROWS = 1_000_000
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: lineage ends here, an executor may be lost."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

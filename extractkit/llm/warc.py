@@ -106,26 +106,29 @@ def pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The bytes between the places where the opening bytes of a record stand, and where they stand.
 
     First table: place (a number), file, block, data (what follows the opening bytes, binary), size,
-    head (the header lines, null if they do not end within it). Second: place, file, block, size, start
+    head_bytes (length of the header lines, null if they do not end within it) and reach (from the
+    opening bytes to the end by the declared length, or null). Second: place, file, block, size, start
     (offset of the opening bytes, -10 for what stands before the first), next (where the declared
     length says that a record opened there ends, or null). Offsets are sums of the lengths before: of
     pieces in a block of the file and of its blocks. Data stays where the one scan put it.
     """
     text = spark.read.option("lineSep", MAGIC).text(path)
     data = F.col("value").cast("binary")
+    head = _header(data)
+    length = _field(head, "Content-Length").try_cast("long")
+    reach = F.when(length >= 0, len(MAGIC) + F.length(head) + length + len(ENDS))
     cut = text.select(
         F.monotonically_increasing_id().alias("place"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         data.alias("data"),
         F.octet_length("value").cast("long").alias("size"),
-        _header(data).alias("head"),
+        F.length(head).alias("head_bytes"),
+        reach.alias("reach"),
     )
-    cut = saved(cut, "pieces")
-    length = _field(F.col("head"), "Content-Length").try_cast("long")
-    reach = F.when(length >= 0, len(MAGIC) + F.length("head") + length + len(ENDS))
+    cut = saved(cut, "pieces", "zstd")
     step = F.col("size") + len(MAGIC)
-    narrow = saved(cut.select("place", "file", "block", "size", reach.alias("reach")), "lengths")
+    narrow = cut.select("place", "file", "block", "size", "reach")
     blocks = narrow.groupBy("file", "block").agg(F.sum(step).alias("sum"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
@@ -221,14 +224,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         .groupBy("owner")
         .agg(
             F.first("file").alias("file"),
-            F.min_by("head", "at").alias("head"),
+            F.min_by("head_bytes", "at").alias("head_bytes"),
             F.unhex(F.array_join(data, MAGIC.encode().hex())).alias("data"),
         )
     )
-    columns = ["place", "file", "head", "data"]
+    columns = ["place", "file", "head_bytes", "data"]
     records = records.select(columns).unionByName(joined.withColumnRenamed("owner", "place"))
+    head = F.decode(F.substring("data", F.lit(1), F.col("head_bytes")), "ISO-8859-1")
+    records = records.withColumn("head", head)
     length = _field(F.col("head"), "Content-Length").cast("int")
-    block = F.substring("data", F.length("head") + 1, length)
+    block = F.substring("data", F.col("head_bytes") + 1, length)
     parsed = records.select("file", "place", "head", block.alias("block")).withColumn(
         "http", _header(F.col("block"))
     )
