@@ -14,6 +14,8 @@ from extractkit.llm import decontaminate, ngram_join, packing, preference, secre
 from extractkit.llm.tables import read, saved
 
 VOCABULARY = "word_bpe_49k.json"
+#: Words the packing stage keeps per task, whose workers also hold what the stages before left.
+CACHED_WORDS = 250_000
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens."""
-    return packing.packed(docs, public_tokenizers.path(VOCABULARY))
+    return packing.packed(docs, public_tokenizers.path(VOCABULARY), cached=CACHED_WORDS)
 
 
 STAGES = [

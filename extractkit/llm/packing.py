@@ -24,18 +24,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved
-from extractkit.llm.tokens import Encoder
+from extractkit.llm.tokens import CACHED_WORDS, Encoder
 
 #: Pieces packed together by one task.
 GROUP = 20_000
 
 
-def pieces(docs: DataFrame, path: str, most: int, id_col: str, text_col: str) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, most: int, id_col: str, text_col: str, cached: int = CACHED_WORDS
+) -> DataFrame:
     """Per piece: id, piece int, start long, length long, ids_crc32 long."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, cached)
         for batch in batches:
             owner, piece, start, length, crc = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -107,6 +109,7 @@ def packed(
     id_col: str = "doc_id",
     text_col: str = "text",
     rule: str = "norm",
+    cached: int = CACHED_WORDS,
 ) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -114,8 +117,9 @@ def packed(
     one end id; repeated rows are packed each; null ids stay null; an empty table gives no rows. Only
     documents of more than ``most`` ids are cut. ``documents`` and ``attention`` limit the pieces and
     the sum of squared lengths of a sequence; a piece that exceeds the latter alone stands alone.
+    ``cached`` words at most are kept by each task between batches; results do not depend on it.
     """
-    cut = pieces(docs, tokenizer, most, id_col, text_col)
+    cut = pieces(docs, tokenizer, most, id_col, text_col, cached)
     cut = saved(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = cut.where(F.col("length") == most).select(
         *cut.columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

@@ -24,7 +24,8 @@ END = 1
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -94,7 +95,7 @@ class Encoder:
                 for c in "\t\n\x0b\x0c\r":
                     text = text.replace(c, " ")
                 split.append([*text.split(" "), None])
-            if len(self.number) > CACHED_WORDS or self.chars > CACHED_CHARS:
+            if len(self.number) > self.cached or self.chars > CACHED_CHARS:
                 self._clear()
             self._learn(set().union(*split))
             for words in split:
