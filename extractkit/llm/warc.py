@@ -23,6 +23,8 @@ MAGIC = "WARC/1.1\r\n"
 ENDS = "\r\n\r\n"
 #: Payloads of fewer bytes are stored each.
 LEAST_BYTES = 100
+#: Bytes searched first for the end of a header.
+NEAR_BYTES = 16_384
 PREFIX = "page-"
 
 
@@ -92,8 +94,13 @@ def write(
 
 
 def _header(data: Column) -> Column:
-    """The header lines of a piece, as text, or null if they do not end within it."""
-    end = F.locate(ENDS, F.decode(F.substring(data, 1, 16_384), "ISO-8859-1"))
+    """The header lines of a piece, as text, or null if they do not end within it.
+
+    Most end within the first bytes; the whole piece is searched where they don't.
+    """
+    near = F.locate(ENDS, F.decode(F.substring(data, 1, NEAR_BYTES), "ISO-8859-1"))
+    far = F.locate(ENDS, F.decode(data, "ISO-8859-1"))
+    end = F.when((near == 0) & (F.octet_length(data) > NEAR_BYTES), far).otherwise(near)
     return F.when(end > 0, F.decode(F.substring(data, F.lit(1), end + 3), "ISO-8859-1"))
 
 
