@@ -13,6 +13,7 @@ from extractkit.llm import (
     ngram_join,
     packing,
     paragraphs,
+    passages,
     preference,
     quality_rules,
     secrets,
@@ -34,6 +35,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.repeated(read(spark, sf_dir, "documents"))
 
 
+def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat in documents, wherever they begin and end."""
+    return passages.shared(read(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     docs = read(spark, sf_dir, "documents")
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules,
         op2_substring_dedup,
+        op2_shared_passages,
         op3_best_fit_packing,
         op4_license_scan,
         op5_quality_classifier,

@@ -1,7 +1,16 @@
 """Cases that an operator once returned in part."""
 
-from extractkit.llm import warc
+from collections import defaultdict
+
+import numpy as np
+
+from extractkit.llm import passages, warc
+from extractkit.llm.queries import QUERIES as LLM_QUERIES
 from extractkit.session import fresh_path
+from tests.conftest import SMALL
+from tests.llm import brute
+
+WORDS = [f"w{i}" for i in range(100)]
 
 
 def test_warc_headers_of_any_length(spark):
@@ -19,3 +28,52 @@ def test_warc_headers_of_any_length(spark):
         kept, text = found[f"<urn:page-{i}>"]
         kept = kept and kept.encode("ISO-8859-1").decode()
         assert (kept, text) == (url, html)
+
+
+def _shared_by_brute_force(texts, least):
+    """(doc, start, end, words, removed) by looking at every run of ``least`` words."""
+    words = {i: list(brute.SPACED.finditer((t or "").translate(brute.LOWER))) for i, t in texts.items()}
+    seen = defaultdict(list)
+    for i in sorted(words):
+        for k in range(len(words[i]) - least + 1):
+            seen[tuple(m[0] for m in words[i][k : k + least])].append((i, k))
+    status = {p: p != v[0] for v in seen.values() if len(v) > 1 for p in v}
+    found = set()
+    for (i, k), removed in status.items():
+        if status.get((i, k - 1)) is not removed:
+            j = k
+            while status.get((i, j + 1)) is removed:
+                j += 1
+            last = j + least - 1
+            found.add((i, words[i][k].start(), words[i][last].end(), last - k + 1, removed))
+    return found
+
+
+def test_passages_in_other_lines_and_over_short_lines(spark):
+    draw = np.random.default_rng(5)
+
+    def prose(n):
+        return [f"w{x}" for x in draw.integers(0, 10**6, n)]
+
+    texts = {}
+    for n in (49, 50, 51, 53, 59, 80, 200):
+        passage = prose(n)
+        for copy in range(3):
+            words = [*prose(int(draw.integers(0, 90))), *passage, *prose(int(draw.integers(0, 90)))]
+            width = (10**6, 7, 30)[copy]
+            lines = (" ".join(words[i : i + width]) for i in range(0, len(words), width))
+            texts[len(texts)] = "é " + "\n".join(lines)
+    texts[len(texts)] = "na " * 2500
+    texts[len(texts)] = " ".join([*WORDS[:30], *["na"] * 49, *WORDS[:60], *WORDS[:60]])
+    texts[len(texts)] = None
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = passages.shared(docs).collect()
+    want = _shared_by_brute_force(texts, 50)
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert {3, 4, 5, 18, 19, 20} <= {r.doc_id for r in got} and not {0, 1, 2} & {r.doc_id for r in got}
+
+
+def test_passages_of_the_smallest_table(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = LLM_QUERIES["op2_shared_passages"](spark, SMALL).collect()
+    assert {tuple(r) for r in got} == _shared_by_brute_force(dict(map(tuple, rows)), 50)
