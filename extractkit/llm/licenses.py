@@ -3,8 +3,8 @@
 Words are runs of letters and digits, A-Z lower-cased. A fingerprint is ``GRAM`` consecutive words;
 of each window of ``WINDOW`` of a template's fingerprints the one with the least hash is indexed, so
 any run of GRAM + WINDOW - 1 words shared with a template holds an indexed one. Every run of words of
-a text is looked up. Hits of a template on neighbouring diagonals are one candidate, which is aligned
-with the template within a band around them: 1 for equal words, -1 for unequal, missing and extra ones.
+a text is looked up. Each hit that no match of its template covers is a candidate: text and template are
+aligned from it to both sides within a band: 1 for equal words, -1 for unequal, missing and extra ones.
 
 The templates are given on the driver and few; the index is broadcast with the function.
 """
@@ -67,31 +67,35 @@ def index_of(templates: dict[str, list[bytes]]) -> dict[tuple, list[tuple[str, i
     return index
 
 
-def align(template: list[bytes], words: list[bytes], shift: int) -> tuple[int, int, int]:
-    """Best local alignment with places of the text at ``shift`` plus those of the template, give or
-    take the band: equal words, first word and word after the last in the text."""
-    best, best_key = (0, 0, 0), (0, 0)
-    # by place in the text: score, equal words, first place in the text
-    above: dict[int, tuple[int, int, int]] = {}
-    for i, word in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + shift - BAND), min(len(words), i + shift + BAND + 1)):
-            score, equal, first = above.get(j - 1, (0, 0, j))
-            if score <= 0:
-                score, equal, first = 0, 0, j
-            same = word == words[j]
-            cell = (score + (1 if same else -1), equal + same, first)
-            for near in (above.get(j), row.get(j - 1)):
-                if near and near[0] - 1 > cell[0]:
-                    cell = (near[0] - 1, near[1], near[2])
-            if cell[0] > 0:
-                row[j] = cell
-                if (cell[0], cell[1]) > best_key:
-                    best_key, best = (cell[0], cell[1]), (cell[1], cell[2], j + 1)
+def extend(template: list[bytes], words: list[bytes]) -> tuple[int, int]:
+    """Best alignment of openings of both, within the band: equal words, and words of the text used."""
+    best, best_key = (0, 0), (0, 0)
+    # by words of the text used: score, equal words
+    above = {j: (-j, 0) for j in range(min(len(words), BAND) + 1)}
+    for i, word in enumerate(template, 1):
+        row: dict[int, tuple[int, int]] = {}
+        for j in range(max(0, i - BAND), min(len(words), i + BAND) + 1):
+            cells = [(near[0] - 1, near[1]) for near in (above.get(j), row.get(j - 1)) if near]
+            if j - 1 in above:
+                same = word == words[j - 1]
+                cells.append((above[j - 1][0] + (1 if same else -1), above[j - 1][1] + same))
+            if cells:
+                row[j] = max(cells)
+                if row[j] > best_key:
+                    best_key, best = row[j], (row[j][1], j)
         above = row
     return best
 
 
+def align(template: list[bytes], words: list[bytes], place: int, at: int, size: int) -> tuple[int, int, int]:
+    """Best alignment through the ``size`` equal words at ``place`` of the text and ``at`` of the
+    template: equal words, first word and word after the last in the text."""
+    after, end = place + size, at + size
+    right, more = extend(template[end:], words[after : after + len(template) - end + BAND])
+    left, less = extend(template[:at][::-1], words[max(0, place - at - BAND) : place][::-1])
+    return left + size + right, place - less, after + more
+
+
 def find(words: list[bytes], templates, index, least: float) -> list[tuple[str, float, int, int, int]]:
     """Matches in a text: name, coverage, equal words, first word, word after the last."""
     if len(words) < GRAM:
@@ -100,17 +104,18 @@ def find(words: list[bytes], templates, index, least: float) -> list[tuple[str,
     for place, gram in enumerate(zip(*(words[k:] for k in range(GRAM)), strict=False)):
         if gram in index:
             for name, at in index[gram]:
-                hits.setdefault(name, []).append((place - at, place))
+                hits.setdefault(name, []).append((place, at))
     found = []
     for name, places in hits.items():
-        done = None
-        for shift, _ in sorted(places):
-            if done is not None and shift - done <= BAND // 2:
+        # the word after the last match; hits inside it are part of it
+        done = 0
+        for place, at in sorted(places):
+            if place < done:
                 continue
-            done = shift
-            equal, first, after = align(templates[name], words, shift)
+            equal, first, after = align(templates[name], words, place, at, GRAM)
             if equal >= least * len(templates[name]):
                 found.append((name, equal / len(templates[name]), equal, first, after))
+                done = after
     # of matches that overlap the one with most equal words stays
     kept: list[tuple[str, float, int, int, int]] = []
     for match in sorted(found, key=lambda m: (-m[2], -m[1], m[3], m[0])):

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from extractkit.llm import passages, warc
+from extractkit.llm import licenses, passages, warc
 from extractkit.llm.queries import QUERIES as LLM_QUERIES
 from extractkit.session import fresh_path
 from tests.conftest import SMALL
@@ -77,3 +77,19 @@ def test_passages_of_the_smallest_table(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = LLM_QUERIES["op2_shared_passages"](spark, SMALL).collect()
     assert {tuple(r) for r in got} == _shared_by_brute_force(dict(map(tuple, rows)), 50)
+
+
+def test_equal_notices_in_a_row(spark):
+    texts = []
+    for name in ("MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0"):
+        texts += [(name, n, "\n".join([licenses.TEMPLATES[name]] * n)) for n in (1, 2, 3)]
+    texts.append(("MIT", 2, "Released under the MIT License released under the MIT licence"))
+    texts.append(("MIT", 2, "Released under the MIT licence released under the MIT License"))
+    docs = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id long, text string")
+    got = defaultdict(list)
+    for r in licenses.scan(docs).orderBy("doc_id", "start").collect():
+        got[r.doc_id].append((r.license, r.start, r.end))
+    for i, (name, n, text) in enumerate(texts):
+        assert [x[0] for x in got[i]] == [name] * n
+        assert all(a[2] <= b[1] for a, b in zip(got[i], got[i][1:]))
+        assert n > 1 or got[i] == [(name, 0, len(text))]
