@@ -1,8 +1,9 @@
 """License scan: winnowed fingerprints pick candidates, banded alignment reports coverage and spans.
 
-Words are runs of letters and digits, A-Z lower-cased. A fingerprint is ``GRAM`` consecutive words;
-of each window of ``WINDOW`` of a template's fingerprints the one with the least hash is indexed, so
-any run of GRAM + WINDOW - 1 words shared with a template holds an indexed one. Every run of words of
+Words are runs of letters and digits, A-Z lower-cased. A fingerprint is ``GRAM`` consecutive words; of
+each window of ``WINDOW`` of a template's fingerprints the one with the least hash is indexed. Both are
+less for a template where they would exceed the run of equal words that is left when as many of its words
+as the coverage allows are other ones or missing, so each such text has a hit. Every run of words of
 a text is looked up. Each hit that no match of its template covers is a candidate: text and template are
 aligned from it to both sides within a band: 1 for equal words, -1 for unequal, missing and extra ones.
 
@@ -11,6 +12,7 @@ The templates are given on the driver and few; the index is broadcast with the f
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -51,17 +53,22 @@ TEMPLATES = {
 }
 
 
-def index_of(templates: dict[str, list[bytes]]) -> dict[tuple, list[tuple[str, int]]]:
+def index_of(templates: dict[str, list[bytes]], least: float = 0.8) -> dict[tuple, list[tuple[str, int]]]:
     """Indexed fingerprints: the words, and the templates and places they stand at."""
     index: dict[tuple, list[tuple[str, int]]] = {}
     for name, words in templates.items():
-        grams = [tuple(words[i : i + GRAM]) for i in range(len(words) - GRAM + 1)]
+        if len(words) < GRAM:
+            continue
+        equal = min(len(words), max(1, math.ceil(least * len(words))))
+        run = -(-equal // (len(words) - equal + 1))
+        size = min(GRAM, run)
+        wide = min(WINDOW, run - size + 1)
+        grams = [tuple(words[i : i + size]) for i in range(len(words) - size + 1)]
         hashes = [zlib.crc32(b" ".join(g)) for g in grams]
         chosen = set()
-        for i in range(max(1, len(grams) - WINDOW + 1)):
-            window = range(i, min(i + WINDOW, len(grams)))
-            if window:
-                chosen.add(min(window, key=lambda k: (hashes[k], -k)))
+        for i in range(max(1, len(grams) - wide + 1)):
+            window = range(i, min(i + wide, len(grams)))
+            chosen.add(min(window, key=lambda k: (hashes[k], -k)))
         for i in sorted(chosen):
             index.setdefault(grams[i], []).append((name, i))
     return index
@@ -98,21 +105,20 @@ def align(template: list[bytes], words: list[bytes], place: int, at: int, size:
 
 def find(words: list[bytes], templates, index, least: float) -> list[tuple[str, float, int, int, int]]:
     """Matches in a text: name, coverage, equal words, first word, word after the last."""
-    if len(words) < GRAM:
-        return []
-    hits: dict[str, list[tuple[int, int]]] = {}
-    for place, gram in enumerate(zip(*(words[k:] for k in range(GRAM)), strict=False)):
-        if gram in index:
-            for name, at in index[gram]:
-                hits.setdefault(name, []).append((place, at))
+    hits: dict[str, list[tuple[int, int, int]]] = {}
+    for size in {len(gram) for gram in index}:
+        for place, gram in enumerate(zip(*(words[k:] for k in range(size)), strict=False)):
+            if gram in index:
+                for name, at in index[gram]:
+                    hits.setdefault(name, []).append((place, at, size))
     found = []
     for name, places in hits.items():
         # the word after the last match; hits inside it are part of it
         done = 0
-        for place, at in sorted(places):
+        for place, at, size in sorted(places):
             if place < done:
                 continue
-            equal, first, after = align(templates[name], words, place, at, GRAM)
+            equal, first, after = align(templates[name], words, place, at, size)
             if equal >= least * len(templates[name]):
                 found.append((name, equal / len(templates[name]), equal, first, after))
                 done = after
@@ -134,12 +140,12 @@ def scan(
     """One row per match: id, license, coverage, matched_words, start and end in code points.
 
     Coverage is the share of the template's words that are matched, at least ``least``. Null and
-    empty texts match nothing; repeated rows are scanned each; null ids stay null; templates without
-    words match nothing; an empty table gives no rows. Other columns are not read.
+    empty texts match nothing; repeated rows are scanned each; null ids stay null; templates of
+    fewer than ``GRAM`` words match nothing; an empty table gives no rows. Other columns are not read.
     """
     coded = {k: words_of(v) for k, v in (TEMPLATES if templates is None else templates).items()}
     coded = {k: v for k, v in coded.items() if v}
-    index = index_of(coded)
+    index = index_of(coded, least)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,3 +93,14 @@ def test_equal_notices_in_a_row(spark):
         assert [x[0] for x in got[i]] == [name] * n
         assert all(a[2] <= b[1] for a, b in zip(got[i], got[i][1:]))
         assert n > 1 or got[i] == [(name, 0, len(text))]
+
+
+def test_notices_with_as_many_other_words_as_the_coverage_allows(spark):
+    texts = [("MIT", 4, "x Released under an MIT License")]
+    for name in ("MIT", "CC-BY-NC-4.0", "Apache-2.0", "CC-BY-4.0"):
+        words = [w.decode() for w in licenses.words_of(licenses.TEMPLATES[name])]
+        for k in range(len(words)):
+            texts.append((name, len(words) - 1, " ".join(["x", *words[:k], "other", *words[k + 1 :], "y"])))
+    docs = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(texts)], "doc_id long, text string")
+    got = [(r.doc_id, r.license, r.matched_words) for r in licenses.scan(docs).orderBy("doc_id").collect()]
+    assert got == [(i, name, n) for i, (name, n, _) in enumerate(texts)]
