@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from extractkit.llm import (
+    alignment,
     decontaminate,
     licenses,
+    negatives,
     ngram_join,
     packing,
     paragraphs,
@@ -17,12 +19,14 @@ from extractkit.llm import (
     preference,
     quality_rules,
     secrets,
+    simhash,
     token_files,
     warc,
 )
 from extractkit.llm.tables import read
 
 VOCABULARY = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +86,21 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each anchor and positive among all embeddings."""
+    return negatives.digest(read(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and of their edited texts."""
+    return simhash.digest(read(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents by two tokenizers, aligned by the bytes they cover."""
+    return alignment.digest(read(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -96,7 +115,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_secret_scan,
         op10_ngram_jaccard_join,
+        op11_hard_negatives,
+        op12_simhash,
+        op13_token_alignment,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_hard_negatives": """
+        with base as (
+            select row_number() over () as row, vec_id as id,
+                   case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+            select a.row as anchor, a.id as anchor_id, r.row, r.id, a.label = r.label as same,
+                   list_dot_product(a.v, r.v)::bigint as score
+            from base a join base r on a.row <> r.row where a.id % 50 = 0),
+        near as (
+            select *, row_number() over (partition by anchor order by score desc, id, row) as place
+            from scored where same),
+        windows as (
+            select anchor, anchor_id, row as positive, id as positive_id, score as positive_score
+            from near where place <= 5),
+        ranked as (
+            select w.*, s.id as negative_id, s.score as negative_score,
+                   row_number() over (partition by w.anchor, w.positive order by s.score desc, s.id, s.row) as rank
+            from windows w join scored s on s.anchor = w.anchor and not s.same
+             and 50 * w.positive_score <= 100 * s.score and 100 * s.score <= 95 * w.positive_score)
+        select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score
+        from ranked where rank <= 3
+    """,
+}
