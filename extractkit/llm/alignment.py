@@ -30,11 +30,13 @@ from extractkit.llm.tables import saved
 from extractkit.llm.textscan import groups
 
 #: Pieces and their characters kept by a task between groups of texts.
-CACHED_PIECES, CACHED_CHARS = 250_000, 16_000_000
+CACHED_PIECES, CACHED_CHARS = 200_000, 16_000_000
 #: Longer pieces are the first to be forgotten.
 LONGEST_KEPT = 64
 #: New pieces encoded as one text.
 JOINED = 512
+#: Texts handed to a library in one call, whose result takes far more memory than the ids.
+AT_ONCE = 16
 #: Id pairs sent to the tasks at once: 16 bytes each.
 PART = 2_000_000
 #: Links counted at once.
@@ -80,8 +82,11 @@ class ByteLevel:
         )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, dtype=np.int64) for c in coded]
+        out = []
+        for at in range(0, len(texts), AT_ONCE):
+            coded = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            out += [np.array(c.ids, dtype=np.int64) for c in coded]
+        return out
 
 
 class Pieces:
@@ -101,8 +106,11 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """``texts`` begin with the space that the model adds."""
-        coded = self.model.encode([t[1:] for t in texts], num_threads=1)
-        return [np.array(ids, dtype=np.int64) for ids in coded]
+        out = []
+        for at in range(0, len(texts), AT_ONCE):
+            coded = self.model.encode([t[1:] for t in texts[at : at + AT_ONCE]], num_threads=1)
+            out += [np.array(ids, dtype=np.int64) for ids in coded]
+        return out
 
 
 def successors(starts: tuple[np.ndarray, np.ndarray], ends: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -331,9 +339,11 @@ def aligned(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(first, second)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for begin, end in groups([t or "" for t in texts]):
-                counts, shown, links = zip(*aligner.documents(texts[begin:end]), strict=True)
+            # only the texts of one group are Python strings at a time; a range is as long as its text
+            sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
+            for begin, end in groups([range(size) for size in sizes]):
+                texts = batch.column(2).slice(begin, end - begin).to_pylist()
+                counts, shown, links = zip(*aligner.documents(texts), strict=True)
                 columns = [
                     batch.column(0).slice(begin, end - begin),
                     batch.column(1).slice(begin, end - begin),

@@ -8,7 +8,6 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from extractkit.llm import alignment, negatives, simhash
 from extractkit.llm.queries import ALIGNED, QUERIES
@@ -244,8 +243,7 @@ def aligner():
 def test_pieces_give_the_whole_text(aligner, texts):
     """Cutting and caching change nothing."""
     texts = [t for t in texts if not any("\ud800" <= c <= "\udfff" for c in t)]
-    whole = Tokenizer.from_file(PATHS[0])
-    whole.encode_special_tokens = True
+    whole = aligner.sides[0].tokenizer
     for text, (counts, shown, links) in zip(texts, aligner.documents(texts), strict=True):
         if not counts[0]:
             continue
