@@ -12,7 +12,8 @@ JSON_SPACE = " \t\n\r"
 
 
 def parse_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add one VARIANT column per entry; null where the text is not exactly one JSON value.
+    """Add one VARIANT column per entry; null where the text is not exactly one JSON value, and where it is
+    one that the reader doesn't take for its size or depth: ``jsonshape.past_limits`` tells which.
 
     ``try_parse_json`` ignores text after the value. So the text is parsed as the first of two
     array elements, the second being the text's own hash: the pair comes back whole only if the
@@ -58,11 +59,6 @@ def is_object_text(value: Column, text: Column) -> Column:
     return value.isNotNull() & F.ltrim(text, F.lit(JSON_SPACE)).startswith("{")
 
 
-def is_object(value: Column) -> Column:
-    """The same for a VARIANT whose text is not at hand; costs a walk over the value."""
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
-
-
 def is_empty_object_text(text: Column) -> Column:
     return text.rlike(rf"^[{JSON_SPACE}]*\{{[{JSON_SPACE}]*\}}[{JSON_SPACE}]*$")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
+from extractkit.functions.jsonshape import past_limits
 from extractkit.functions.once import pin
 from extractkit.functions.text import json_block_balanced
 
@@ -24,12 +25,27 @@ def flatten_table(df: DataFrame, text: str, key: str = "id") -> DataFrame:
     )
 
 
+def flatten_rejected(df: DataFrame, text: str, key: str = "id") -> DataFrame:
+    """key, reason of the texts that ``flatten_table`` has no rows for: no_json, past_limits, no_leaves."""
+    leaves = with_leaves(df.select(key, text), text, "__leaves")
+    reason = _reason("__leaves", "").otherwise(F.when(F.size("__leaves") == 0, "no_leaves"))
+    return pin(leaves.select(key, reason.alias("reason")), "reason").where("reason is not null")
+
+
 def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add the path -> leaf text map of the object in ``text``; null when it holds no JSON object."""
+    """Add the path -> leaf text map of the object in ``text``, null when it holds no JSON object, and
+    ``<out>_past``: whether it is null only because the text is too large or too deep to read."""
     df = J.parse_columns(df, {f"__{out}_value": F.col(text)})
     value = F.col(f"__{out}_value")
     leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, F.col(text)))
-    return df.withColumn(out, leaves).drop(f"__{out}_value")
+    past = past_limits(F.col(text), value)
+    return df.withColumns({out: leaves, f"{out}_past": past}).drop(f"__{out}_value")
+
+
+def _reason(leaves: str, suffix: str) -> Column:
+    """Why there are no leaves, as the first branches of a case."""
+    lacking = F.col(leaves).isNull()
+    return F.when(lacking & F.col(f"{leaves}_past"), f"past_limits{suffix}").when(lacking, f"no_json{suffix}")
 
 
 def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
@@ -37,7 +53,8 @@ def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
 
     The one join pairs the raw texts; they are parsed and matched inside the row, so eleven paths
     per text never become eleven shuffled rows. A text without a JSON object, or absent, rejects
-    its key.
+    its key (no_json_a, no_json_b); one that is JSON but past the reader's limits has its own reason
+    (past_limits_a, past_limits_b).
     """
     block = json_block_balanced(F.coalesce("raw_output", F.lit("")))
     a = left.select(key, block.alias("__text_a"))
@@ -52,7 +69,7 @@ def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     )
     return paired.select(
         key,
-        F.when(F.col("a").isNull(), "no_json_a").when(F.col("b").isNull(), "no_json_b").alias("rejected"),
+        _reason("a", "_a").otherwise(_reason("b", "_b")).alias("rejected"),
         both.alias("paths"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
+from extractkit.functions.jsonshape import reading
 from extractkit.functions.text import json_block_greedy
 from extractkit.operators.split import first_n
 from extractkit.schema import DAMAGE_FIELDS, SEVERITY_FIELD
@@ -15,12 +16,12 @@ MAX_EXAMPLES = 100
 
 
 def parse_gold(gold: DataFrame, key: str = "id") -> DataFrame:
-    """key, gold (VARIANT), gold_ok: parses, and is a non-empty object."""
+    """key, gold (VARIANT), gold_ok (parses, and is a non-empty object), gold_reason where it isn't."""
     return _parsed(gold.select(key, F.coalesce("completion", F.lit("")).alias("__text")), key, "gold")
 
 
 def parse_predictions(predictions: DataFrame, key: str = "id") -> DataFrame:
-    """key, pred (VARIANT), pred_ok, from the greedy JSON block of ``raw_output``."""
+    """key, pred (VARIANT), pred_ok, pred_reason, from the greedy JSON block of ``raw_output``."""
     block = json_block_greedy(F.coalesce("raw_output", F.lit("")))
     return _parsed(predictions.select(key, block.alias("__text")), key, "pred")
 
@@ -28,13 +29,29 @@ def parse_predictions(predictions: DataFrame, key: str = "id") -> DataFrame:
 def _parsed(texts: DataFrame, key: str, name: str) -> DataFrame:
     text = F.col("__text")
     usable = J.is_object_text(F.col(name), text) & ~J.is_empty_object_text(text)
-    return J.parse_columns(texts, {name: text}).select(key, name, usable.alias(f"{name}_ok"))
+    found = reading(text, F.col(name))
+    reason = F.when(~usable, F.when(found == "json", "no_object").otherwise(found))
+    parsed = J.parse_columns(texts, {name: text})
+    return parsed.select(key, name, usable.alias(f"{name}_ok"), reason.alias(f"{name}_reason"))
 
 
 def pair_gold_pred(gold: DataFrame, predictions: DataFrame, key: str = "id") -> DataFrame:
-    """Every gold row with its prediction, if any: gold, gold_ok, pred, pred_ok."""
-    paired = parse_gold(gold, key).join(parse_predictions(predictions, key), key, "left")
-    return paired.withColumn("pred_ok", F.coalesce("pred_ok", F.lit(False)))
+    """Every gold row with its prediction, if any: gold, gold_ok, gold_reason and the same of pred.
+
+    A reason says why a side can't be scored: not_json, past_limits (JSON too large or deep to read),
+    no_object (also the empty object), no_row; null where it can.
+    """
+    predicted = parse_predictions(predictions, key).withColumn("__there", F.lit(True))
+    paired = parse_gold(gold, key).join(predicted, key, "left")
+    absent = F.when(F.col("__there").isNull(), "no_row").otherwise(F.col("pred_reason"))
+    return paired.withColumns({"pred_ok": F.coalesce("pred_ok", F.lit(False)), "pred_reason": absent}).drop("__there")
+
+
+def unusable(paired: DataFrame) -> DataFrame:
+    """side, reason, n_rows: why rows count as invalid, a row of both sides once for each."""
+    sides = [F.struct(F.lit(s).alias("side"), F.col(f"{s}_reason").alias("reason")) for s in ("gold", "pred")]
+    reasons = paired.select(F.inline_outer(F.array(*sides))).where("reason is not null")
+    return reasons.groupBy("side", "reason").agg(F.count("*").alias("n_rows"))
 
 
 def score_rows(paired: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Rule check of training-data lines. Every line yields the list of rules it breaks.
 
 Rules in order; "ends" means later rules are not looked at for that line:
-V01 not JSON (ends), V02 not an object (ends), V03 prompt / completion absent (ends),
+V01 not JSON (ends), V14 JSON that is too large or too deep to read (ends; also for the completion, in
+place of V06), V02 not an object (ends), V03 prompt / completion absent (ends),
 V04 not a string, V05 empty after strip, V06 completion is not JSON (ends), V07 completion not an
 object (ends), V08 no damage, V09 damage not an object, V10 damage key absent, V11 damage value not
 boolean, V12 no severity, V13 severity not in the enum.
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
+from extractkit.functions.jsonshape import past_limits
 from extractkit.functions.text import is_blank, strip_line, text_array
 from extractkit.schema import DAMAGE_FIELDS, REQUIRED_KEYS, SEVERITIES, SEVERITY_FIELD
 
@@ -42,6 +44,11 @@ def _text_errors(key: str) -> Column:
     return _found((text.isNull(), "V04", key), (text.isNotNull() & is_blank(text), "V05", key))
 
 
+def _unread(text: Column, value: Column, code: str, path: str = "") -> Column:
+    """``code`` for a text that isn't JSON, V14 for one past the reader's limits."""
+    return F.when(past_limits(text, value), _only("V14", path)).otherwise(_only(code, path))
+
+
 def _flag(field: str) -> Column:
     return J.member(F.col("__damage"), f"$.{field}")
 
@@ -82,13 +89,13 @@ def validate_lines(df: DataFrame, line: str = "raw") -> DataFrame:
     text = F.col(f"__{completion}_text")
     content = (
         F.when(text.isNull(), _none())
-        .when(F.col("__record").isNull(), _only("V06", completion))
+        .when(F.col("__record").isNull(), _unread(text, F.col("__record"), "V06", completion))
         .when(~J.is_object_text(F.col("__record"), text), _only("V07", completion))
         .otherwise(_record_errors())
     )
     errors = (
         F.when(F.col("__line") == "", _none())
-        .when(F.col("__root").isNull(), _only("V01"))
+        .when(F.col("__root").isNull(), _unread(F.col("__line"), F.col("__root"), "V01"))
         .when(~F.col("__line").startswith("{"), _only("V02"))
         .when(F.col(f"__{prompt}").isNull(), _only("V03", prompt))
         .when(F.col(f"__{completion}").isNull(), F.concat(_text_errors(prompt), _only("V03", completion)))

@@ -189,6 +189,29 @@ def model_outputs(df: DataFrame, model: str) -> DataFrame:
     return out.select("id", raw.otherwise(plain).alias("raw_output"))
 
 
+#: Forms of ``sized_texts``; levels and digits beyond what the JSON reader takes.
+SIZED_FORMS = 5
+DEEP, DIGITS = 1_100, 1_200
+
+
+def sized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, form, record: documents as JSON that is fine (0), cut (1), too deep (2), too deep and wrongly
+    closed (3), or next to a number that is too long (4)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    value = json_string(F.coalesce("text", F.lit("")))
+    opened, closed = F.repeat(F.lit("["), F.lit(DEEP)), F.repeat(F.lit("]"), F.lit(DEEP - 1))
+    whole = F.concat(F.lit('{"text":'), value, F.lit("}"))
+    form = F.pmod("doc_id", F.lit(SIZED_FORMS))
+    record = (
+        F.when(form == 0, whole)
+        .when(form == 1, F.substring(whole, 1, F.length(whole) - 1))
+        .when(form == 2, F.concat(opened, value, closed, F.lit("]")))
+        .when(form == 3, F.concat(opened, value, closed, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"n":1'), F.repeat(F.lit("0"), F.lit(DIGITS)), F.lit(',"text":'), value, F.lit("}")))
+    )
+    return docs.select(F.col("doc_id").alias("id"), form.alias("form"), record.alias("record"))
+
+
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, record: one nested JSON object per event."""
     events = table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "props")

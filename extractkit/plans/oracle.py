@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from extractkit.functions import draws
 from extractkit.functions import tokens as K
+from extractkit.functions.jsonshape import MOST_DEPTH, MOST_NUMBER
 from extractkit.functions.text import WHITESPACE
 from extractkit.operators import encode as E
 from extractkit.operators import evaluate as A
@@ -408,6 +409,29 @@ report AS (SELECT metric, field, correct, denom, CASE WHEN denom > 0 THEN 100.0:
     WHEN metric <> 'validity' THEN 0.0::DOUBLE END AS pct FROM lines)"""
 
 
+UNUSABLE = """reasons AS (
+    SELECT 'gold' AS side, CASE WHEN gold_ok THEN NULL WHEN json_valid(completion) THEN 'no_object' ELSE 'not_json' END
+        AS reason FROM paired
+    UNION ALL
+    SELECT 'pred', CASE WHEN pred_ok THEN NULL WHEN id NOT IN (SELECT id FROM oa) THEN 'no_row'
+        WHEN json_valid(block) THEN 'no_object' ELSE 'not_json' END FROM paired)"""
+
+
+def sized_ctes() -> str:
+    """sized(id, status): depth and digits are measured on the text, not taken from its form."""
+    value = js("coalesce(text, '')")
+    opened, closed = f"repeat('[', {I.DEEP})", f"repeat(']', {I.DEEP - 1})"
+    whole = "'{\"text\":' || value || '}'"
+    return f"""values_ AS (SELECT doc_id AS id, doc_id % {I.SIZED_FORMS} AS form, {value} AS value FROM documents),
+records AS (SELECT id, CASE form WHEN 0 THEN {whole} WHEN 1 THEN substr({whole}, 1, length({whole}) - 1)
+    WHEN 2 THEN {opened} || value || {closed} || ']' WHEN 3 THEN {opened} || value || {closed} || '}}'
+    ELSE '{{"n":1' || repeat('0', {I.DIGITS}) || ',"text":' || value || '}}' END AS record FROM values_),
+sized AS (SELECT id, CASE WHEN NOT json_valid(record) THEN 'not_json'
+    WHEN length(record) - length(ltrim(record, '[')) > {MOST_DEPTH}
+      OR length(regexp_extract(record, '^\\{{"n":([0-9]+)', 1)) > {MOST_NUMBER} THEN 'past_limits'
+    ELSE 'json' END AS status FROM records)"""
+
+
 # --- encoding -----------------------------------------------------------------------------------
 
 
@@ -601,6 +625,16 @@ def _build() -> dict[str, str]:
             "CASE WHEN gold_ok THEN json_extract_string(gj, '$.overall_severity') END AS gold_severity, "
             "CASE WHEN pred_ok THEN json_extract_string(pj, '$.overall_severity') END AS pred_severity FROM parsed",
         ),
+        "eval_unusable": with_(
+            eval_ctes(),
+            UNUSABLE,
+            query="SELECT side, reason, count(*) AS n_rows FROM reasons WHERE reason IS NOT NULL GROUP BY side, reason",
+        ),
+        "json_limits": with_(sized_ctes(), query="SELECT id, status FROM sized"),
+        "flatten_rejected": with_(
+            sized_ctes(),
+            query="SELECT id, replace(status, 'not_json', 'no_json') AS reason FROM sized WHERE status <> 'json'",
+        ),
         "eval_report": with_(eval_ctes(), query="SELECT metric, field, correct, denom, pct FROM report"),
         "eval_validity": with_(eval_ctes(), query=metric("validity")),
         "eval_fields": with_(eval_ctes(), query=metric("field_accuracy")),

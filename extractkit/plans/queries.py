@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from extractkit.functions import draws
 from extractkit.functions import jsonvalue as J
+from extractkit.functions.jsonshape import reading
 from extractkit.functions.severity import severity_bucket, true_count
 from extractkit.functions.text import WHITESPACE, json_block_balanced, json_block_greedy, strip_text
 from extractkit.operators import compare as C
@@ -184,6 +185,18 @@ def json_flatten(spark, sf_dir):
     return C.flatten_table(I.event_records(spark, sf_dir), "record")
 
 
+@register
+def json_limits(spark, sf_dir):
+    """Which texts are JSON, which are not, and which are JSON past the reader's limits."""
+    parsed = J.parse_columns(I.sized_texts(spark, sf_dir), {"value": F.col("record")})
+    return parsed.select("id", reading(F.col("record"), F.col("value")).alias("status"))
+
+
+@register
+def flatten_rejected(spark, sf_dir):
+    return C.flatten_rejected(I.sized_texts(spark, sf_dir), "record")
+
+
 @register
 def missing_keys(spark, sf_dir):
     """Required keys missing from each line; null where the line is not a JSON object."""
@@ -325,6 +338,12 @@ def pair_gold_pred(spark, sf_dir):
     )
 
 
+@register
+def eval_unusable(spark, sf_dir):
+    """Why gold and predicted texts can't be scored."""
+    return A.unusable(_paired(spark, sf_dir))
+
+
 @register
 def eval_report(spark, sf_dir):
     pairs = I.pairs(spark, sf_dir)
