@@ -12,6 +12,7 @@ from extractkit.functions.text import WHITESPACE
 from extractkit.operators import encode as E
 from extractkit.operators import evaluate as A
 from extractkit.operators import generate as G
+from extractkit.operators import student as ST
 from extractkit.operators.phrases import INTROS, PHRASES
 from extractkit.operators.prompts import PLACEHOLDER, PROMPT_PREFIX, PROMPT_TEMPLATE
 from extractkit.plans import inputs as I
@@ -409,6 +410,63 @@ report AS (SELECT metric, field, correct, denom, CASE WHEN denom > 0 THEN 100.0:
     WHEN metric <> 'validity' THEN 0.0::DOUBLE END AS pct FROM lines)"""
 
 
+def student_ctes() -> str:
+    """predicted(id, flags, severity): the closed form of naive Bayes, class by class as rows."""
+    classes = [*DAMAGE_FIELDS, *(f"severity_{x}" for x in SEVERITIES)]
+    truth = ", ".join([f"{f} AS {f}" for f in DAMAGE_FIELDS] + [f"severity = '{x}' AS severity_{x}" for x in SEVERITIES])
+    as_rows = " UNION ALL ".join(f"SELECT id, split, '{c}' AS class, {c} AS holds FROM marked" for c in classes)
+
+    def log(share: str) -> str:
+        return f"round(ln({share}) * {ST.SCALE})::BIGINT"
+
+    share = "((n + 1)::DOUBLE / (n_class + 2)::DOUBLE)"
+    flag = f"class IN ({', '.join(map(lit, DAMAGE_FIELDS))})"
+    flags = ", ".join(f"bool_or(class = '{f}' AND score > 0) AS {f}" for f in DAMAGE_FIELDS)
+    order = "CASE class " + " ".join(f"WHEN 'severity_{x}' THEN {i}" for i, x in enumerate(SEVERITIES)) + " END"
+    return f"""{pairs_ctes(DOCUMENTS)},
+{split_ctes("SELECT * FROM pairs", 0.8, 0.1)},
+marked AS (SELECT id, split, {truth} FROM split),
+truth AS ({as_rows}),
+worded AS (SELECT id, split, regexp_extract_all(lower(prompt), '{ST.WORD}') AS w FROM split),
+bigrams AS (SELECT id, split, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS p FROM worded),
+had AS (SELECT DISTINCT id, split, ('0x' || substr(md5(p), 1, 7))::BIGINT % {ST.WIDTH} AS bucket FROM bigrams),
+class_sizes AS (SELECT class, holds, count(*) AS n_class FROM truth WHERE split = 'train' GROUP BY class, holds),
+sides AS (SELECT class, side.holds, coalesce(n_class, 0) AS n_class FROM (SELECT DISTINCT class FROM truth) c
+    CROSS JOIN (VALUES (true), (false)) side(holds) LEFT JOIN class_sizes USING (class, holds)),
+seen AS (SELECT bucket, class, holds, count(*) AS n FROM had JOIN truth USING (id, split)
+    WHERE split = 'train' GROUP BY bucket, class, holds),
+cells AS (SELECT r.bucket, s.class, s.holds, s.n_class, coalesce(n, 0) AS n
+    FROM (SELECT unnest(range({ST.WIDTH})) AS bucket) r CROSS JOIN sides s LEFT JOIN seen USING (bucket, class, holds)
+    WHERE s.holds OR {flag.replace('class', 's.class', 1)}),
+weights AS (SELECT bucket, class, CASE WHEN holds THEN 1 ELSE -1 END AS sign,
+    {log(share)} - {log(f"(1 - {share})")} AS w, {log(f"(1 - {share})")} AS base FROM cells),
+n_train AS (SELECT count(*) AS n FROM split WHERE split = 'train'),
+priors AS (SELECT class, CASE WHEN holds THEN 1 ELSE -1 END *
+    {log(f"(n_class + 1)::DOUBLE / (n + CASE WHEN {flag} THEN 2 ELSE {len(SEVERITIES)} END)")} AS prior
+    FROM sides, n_train WHERE holds OR {flag}),
+always AS (SELECT class, sum(x)::BIGINT AS x FROM (SELECT class, prior AS x FROM priors
+    UNION ALL SELECT class, sign * base FROM weights) u GROUP BY class),
+asked AS (SELECT id FROM split WHERE split = 'test'),
+summed AS (SELECT h.id, w.class, sum(w.sign * w.w)::BIGINT AS x FROM had h JOIN weights w USING (bucket)
+    WHERE h.split = 'test' GROUP BY h.id, w.class),
+scored AS (SELECT a.id, c.class, c.x + coalesce(s.x, 0) AS score
+    FROM asked a CROSS JOIN always c LEFT JOIN summed s ON s.id = a.id AND s.class = c.class),
+chosen AS (SELECT id, {flags} FROM scored GROUP BY id),
+ranked_severity AS (SELECT id, substr(class, 10) AS severity,
+    row_number() OVER (PARTITION BY id ORDER BY score DESC, {order}) AS place FROM scored WHERE class LIKE 'severity!_%' ESCAPE '!'),
+predicted AS (SELECT c.*, r.severity FROM chosen c JOIN ranked_severity r ON c.id = r.id AND r.place = 1)"""
+
+
+def student_report() -> str:
+    """One line per output: predictions are always valid records, as gold is."""
+    lines = ["SELECT 'validity' AS metric, 'json' AS field, count(*) AS correct, count(*) AS denom FROM compared_"]
+    for f in DAMAGE_FIELDS:
+        lines.append(f"SELECT 'field_accuracy', '{f}', count(*) FILTER (p.{f} = g.{f}), count(*) FROM compared_")
+    lines.append("SELECT 'severity_accuracy', 'overall_severity', count(*) FILTER (p.severity = g.severity), count(*) FROM compared_")
+    union = " UNION ALL ".join(x.replace("compared_", "predicted p JOIN pairs g ON p.id = g.id") for x in lines)
+    return f"SELECT *, CASE WHEN denom > 0 THEN 100.0::DOUBLE * correct / denom END AS pct FROM ({union}) l"
+
+
 UNUSABLE = """reasons AS (
     SELECT 'gold' AS side, CASE WHEN gold_ok THEN NULL WHEN json_valid(completion) THEN 'no_object' ELSE 'not_json' END
         AS reason FROM paired
@@ -630,6 +688,8 @@ def _build() -> dict[str, str]:
             UNUSABLE,
             query="SELECT side, reason, count(*) AS n_rows FROM reasons WHERE reason IS NOT NULL GROUP BY side, reason",
         ),
+        "student_predict": with_(student_ctes(), query=f"SELECT id, {record_text()} AS raw_output FROM predicted"),
+        "student_eval": with_(student_ctes(), query=student_report()),
         "json_limits": with_(sized_ctes(), query="SELECT id, status FROM sized"),
         "flatten_rejected": with_(
             sized_ctes(),

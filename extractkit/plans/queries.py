@@ -24,7 +24,7 @@ from extractkit.operators.phrases import PHRASES
 from extractkit.operators.student import fit_student
 from extractkit.plans import inputs as I
 from extractkit.schema import DAMAGE_FIELDS, REQUIRED_KEYS, SPLITS
-from extractkit.session import configure, fresh_path
+from extractkit.session import configure, fresh_path, kept
 from extractkit.sources import jsonl as L
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,13 +369,25 @@ def eval_severity(spark, sf_dir):
     return _metric(spark, sf_dir, "severity_accuracy")
 
 
+def _student(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Test rows and what a student fitted on the train rows predicts for them."""
+    pairs = I.pairs(spark, sf_dir).select("id", "prompt", "completion")
+    rows = kept(S.split_exact(pairs, **SHARES), "split")
+    student = fit_student(rows.filter(F.col("split") == "train"))
+    test = rows.filter(F.col("split") == "test")
+    return test, student.predict(test)
+
+
+@register
+def student_predict(spark, sf_dir):
+    """The record a fitted student gives for each test prompt."""
+    return _student(spark, sf_dir)[1]
+
+
 @register
 def student_eval(spark, sf_dir):
     """Fit on the train split, predict the test split, score it."""
-    rows = S.split_exact(I.pairs(spark, sf_dir).select("id", "prompt", "completion"), **SHARES)
-    student = fit_student(rows.filter(F.col("split") == "train"))
-    test = rows.filter(F.col("split") == "test")
-    return A.evaluate(test, student.predict(test), max_examples=None)
+    return A.evaluate(*_student(spark, sf_dir))
 
 
 # --- comparison ---------------------------------------------------------------------------------

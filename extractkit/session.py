@@ -60,6 +60,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and not again when an executor is lost."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Repartition a scan that has too few tasks for the work each of its rows means.
 
