@@ -104,10 +104,10 @@ def test_numbered_scan_over_many_blocks(spark, tmp_path, small_blocks, newline):
     assert sorted((r.line_no, r.raw) for r in whole) == list(enumerate([t for f in files for t in f], 1))
 
 
-def test_numbered_scan_joins_a_long_block_table(spark, tmp_path, small_blocks, monkeypatch):
+def test_numbered_scan_reads_a_long_block_table_in_runs(spark, tmp_path, small_blocks, monkeypatch):
     files = [[f"line {i}" for i in range(200)]] * 3
     write_files(tmp_path, files)
-    monkeypatch.setattr(L, "BROADCAST_BLOCKS", 0)
+    monkeypatch.setattr(L, "BLOCKS_AT_ONCE", 0)
     rows = L.numbered_scan(spark, str(tmp_path), per_file=False).collect()
     assert sorted((r.line_no, r.raw) for r in rows) == list(enumerate([t for f in files for t in f], 1))
 
