@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ def token_id(token: Column) -> Column:
     return value + F.lit(FIRST_TOKEN_ID)
 
 
+def python_id(token: str) -> int:
+    """``token_id`` outside Spark."""
+    return int(hashlib.md5(token.encode()).hexdigest()[:_ID_DIGITS], 16) + FIRST_TOKEN_ID
+
+
 def token_ids(token_list: Column, max_length: int) -> Column:
     """Ids of the first ``max_length`` tokens; only those are hashed."""
     return F.transform(F.slice(token_list, 1, max_length), token_id)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,11 @@ from extractkit.functions.once import pin
 # Fixed value: longest encoded sequence.
 MAX_LENGTH = 512
 
+# Distinct tokens a task remembers the ids of.
+MOST_TOKENS = 200_000
+
 Tokenize = Callable[[str], list[int]]
+TokenizeBatch = Callable[[list[str]], list[list[int]]]
 
 
 def encode_tokens(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
@@ -29,21 +36,61 @@ def encode_tokens(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
     ).drop("__prompt")
 
 
-def encode_with(df: DataFrame, make_tokenizer: Callable[[], Tokenize], key: str = "id",
-                max_length: int = MAX_LENGTH) -> DataFrame:
-    """``encode_tokens`` for a caller's own tokenizer, built once per task."""
+def encode_batches(df: DataFrame, make_tokenizer: Callable[[], TokenizeBatch], key: str = "id",
+                   max_length: int = MAX_LENGTH) -> DataFrame:
+    """key, ids, prompt_len by a caller's own tokenizer, built once per task and called once per Arrow batch.
+
+    It gets the batch's prompts and the prompts with their completions in one list. Ids leave as one
+    flat buffer and its offsets; no row becomes a Python object but its lists of ids. A null text is empty. A
+    tokenizer that gives another number of lists than it got texts stops the job.
+    """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenize = make_tokenizer()
         for batch in batches:
-            prompt_len = [min(len(tokenize(p)), max_length) for p in batch["prompt"]]
-            ids = [tokenize(p + c)[:max_length] for p, c in zip(batch["prompt"], batch["completion"])]
-            yield pd.DataFrame({key: batch[key], "ids": ids, "prompt_len": prompt_len})
+            prompts, completions = ([t or "" for t in batch.column(i).to_pylist()] for i in (1, 2))
+            n = len(prompts)
+            lists = tokenize([*prompts, *(p + c for p, c in zip(prompts, completions, strict=True))]) if n else []
+            if len(lists) != 2 * n:
+                raise ValueError(f"{len(lists)} lists of ids for {2 * n} texts")
+            sizes = np.minimum(np.fromiter(map(len, lists), np.int64, 2 * n), max_length)
+            offsets = np.concatenate([[0], np.cumsum(sizes[n:])])
+            flat = np.fromiter(chain.from_iterable(x[:max_length] for x in lists[n:]), np.int32, offsets[-1])
+            columns = [
+                batch.column(0),
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
+                pa.array(sizes[:n], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [key, "ids", "prompt_len"])
 
     key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, "prompt", "completion").mapInPandas(
-        run, f"{key} {key_type}, ids array<int>, prompt_len int"
-    )
+    return df.select(key, "prompt", "completion").mapInArrow(run, f"{key} {key_type}, ids array<int>, prompt_len int")
+
+
+def encode_with(df: DataFrame, make_tokenizer: Callable[[], Tokenize], key: str = "id",
+                max_length: int = MAX_LENGTH) -> DataFrame:
+    """``encode_batches`` for a tokenizer of one text."""
+
+    def make() -> TokenizeBatch:
+        tokenize = make_tokenizer()
+        return lambda texts: [tokenize(t) for t in texts]
+
+    return encode_batches(df, make, key, max_length)
+
+
+def word_tokenizer() -> TokenizeBatch:
+    """The tokenizer of ``encode_tokens`` as a caller's own: each distinct token is hashed once."""
+    token = re.compile(K.TOKEN_PATTERN, re.ASCII)
+    known: dict[str, int] = {}
+
+    def number(text: str) -> int:
+        if text not in known:
+            if len(known) >= MOST_TOKENS:
+                known.clear()
+            known[text] = K.python_id(text)
+        return known[text]
+
+    return lambda texts: [[number(t) for t in token.findall(text)] for text in texts]
 
 
 def pad_and_mask(

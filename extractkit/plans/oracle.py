@@ -677,6 +677,26 @@ def _build() -> dict[str, str]:
             f"read AS (SELECT id, {mentioned.replace('{text}', 'narrative')} FROM pairs)",
             query=f"SELECT id, {FLAG_LIST}, {severity_case(true_sum())} AS severity FROM read",
         ),
+        "evaluate_predictor": with_(
+            doc_pairs,
+            gold_cte(),
+            "judged AS (SELECT id, CASE WHEN json_valid(completion) THEN json_type(completion) = 'OBJECT' "
+            "AND completion <> '{}' ELSE false END AS ok FROM gold)",
+            f"read AS (SELECT id, {mentioned.replace('{text}', 'prompt')} FROM pairs)",
+            "asked AS (SELECT ok, r.*, p.* EXCLUDE (id) RENAME ("
+            + ", ".join(f"{f} AS gold_{f}" for f in DAMAGE_FIELDS)
+            + ") FROM judged j JOIN read r ON j.id = r.id JOIN pairs p ON p.id = j.id)",
+            query="SELECT metric, field, correct, denom, CASE WHEN denom > 0 THEN 100.0::DOUBLE * correct / denom END AS pct FROM ("
+            + " UNION ALL ".join(
+                ["SELECT 'validity' AS metric, 'json' AS field, count(*) FILTER (ok) AS correct, count(*) AS denom FROM asked"]
+                + [
+                    f"SELECT 'field_accuracy', '{f}', count(*) FILTER (ok AND {f} = gold_{f}), count(*) FILTER (ok) FROM asked"
+                    for f in DAMAGE_FIELDS
+                ]
+                + ["SELECT 'severity_accuracy', 'overall_severity', 0, count(*) FILTER (ok) FROM asked"]
+            )
+            + ") l",
+        ),
         "pair_gold_pred": with_(
             eval_ctes(),
             query="SELECT id, gold_ok, pred_ok, "
@@ -732,6 +752,7 @@ def _build() -> dict[str, str]:
             "100.0::DOUBLE * sum(matches) / sum(keys) AS pct FROM models",
         ),
         "encode_tokens": with_(encoding_ctes(), query=f"SELECT id, prompt_len, {joined('ids')} AS ids FROM encoded"),
+        "encode_with": with_(encoding_ctes(), query=f"SELECT id, prompt_len, {joined('ids')} AS ids FROM encoded"),
         "pad_mask": with_(
             encoding_ctes(),
             query=f"SELECT id, {joined('input_ids')} AS input_ids, {joined('attention_mask')} AS attention_mask FROM padded",

@@ -316,6 +316,14 @@ def batch_extract(spark, sf_dir):
     return X.batch_extract(prompts, X.phrase_predictor)
 
 
+@register
+def evaluate_predictor(spark, sf_dir):
+    """A predictor asked for every prompt with usable gold, and scored over all of them."""
+    pairs = I.pairs(spark, sf_dir)
+    rows = pairs.select("id", "prompt").join(I.gold(pairs), "id")
+    return X.predict_and_score(rows, X.phrase_predictor, fresh_path(spark, "replies"), waves=2)
+
+
 @register
 def phrase_extract(spark, sf_dir):
     return X.phrase_extract(I.pairs(spark, sf_dir).select("id", "narrative")).drop("narrative")
@@ -437,6 +445,13 @@ def encode_tokens(spark, sf_dir):
     return encoded.select("id", F.col("prompt_len").cast("bigint").alias("prompt_len"), _joined(F.col("ids")).alias("ids"))
 
 
+@register
+def encode_with(spark, sf_dir):
+    """The same by a tokenizer outside Spark, batch by batch."""
+    encoded = E.encode_batches(I.text_pairs(spark, sf_dir), E.word_tokenizer)
+    return encoded.select("id", F.col("prompt_len").cast("bigint").alias("prompt_len"), _joined(F.col("ids")).alias("ids"))
+
+
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.encode_pairs(I.text_pairs(spark, sf_dir))
 

@@ -70,3 +70,19 @@ def test_running_totals(spark):
     assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
     empty, none = running_total(df.limit(0), ["k"], "v", "sum_before")
     assert (empty.count(), none) == (0, 0)
+
+
+@pytest.mark.parametrize("at_once", [200_000, 2])
+def test_part_files_in_the_order_they_were_written(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(jsonl, "BLOCKS_AT_ONCE", at_once)
+    order = ["00000", "09999", "10000", "99999", "100000", "1000000"]
+    want = []
+    (tmp_path / "split=train").mkdir()
+    for part in order:
+        for piece in ("000", "001", "1000"):
+            text = f"{part} {piece}"
+            want.append(text)
+            name = f"part-{part}-0c1d-c9.c{piece}.json"
+            (tmp_path / "split=train" / name).write_text(f'{{"prompt":"{text}","completion":"c"}}\n')
+    got = jsonl.read_split(spark, str(tmp_path), "train").sort("line_no").collect()
+    assert [(r.line_no, r.prompt) for r in got] == list(enumerate(want, 1))
