@@ -31,10 +31,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; null ids stay."""
-    groups = saved(ngram_join.near_duplicates(docs), "groups")
-    other = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(other, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near copies the row with the smallest id, of equal ids the first; a null id is the last.
+
+    Rows are told apart by their place, not by id: of an id's several texts each has its own group, and
+    of a repeated row one stays. ``docs`` must read alike each time, as a written table does.
+    """
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    groups = ngram_join.near_duplicates(numbered, id_col="__row")
+    rows = saved(groups.join(numbered.select("__row", "doc_id"), "__row"), "groups")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    first = rows.groupBy("component_id").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = rows.join(first, "component_id").where(F.col("__row") != F.col("first.__row")).select("__row")
+    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
