@@ -9,6 +9,7 @@ from extractkit.llm import decontaminate, licenses, ngram_join, packing, paragra
 from extractkit.llm import quality_rules, secrets, token_coder, token_files, warc
 from extractkit.llm.automaton import Automaton
 from extractkit.session import fresh_path
+from tests.conftest import SMALL
 from tests.llm import brute
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -273,3 +274,17 @@ def test_stages_take_odd_rows(spark, odd):
         assert docs.columns == odd.columns
         docs.count()
         stage(spark, odd.limit(0), SMALL).count()
+
+
+def test_pipeline_drops_copies_by_row(spark, tmp_path):
+    """An id with two texts loses only the one that is a copy; a repeated row stays once."""
+    other, third = " ".join(WORDS[200:320]), " ".join(WORDS[100:220])
+    rows = [(1, BASE), (2, NEAR), (2, other), (3, other), (4, third), (4, third), (None, third), (None, "a b"), (5, None)]
+    rows += [(6, ""), (None, "a b"), (7, None)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, component_id int").write.parquet(path)
+    docs = spark.read.parquet(path)
+    left = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    want = [(1, BASE), (2, other), (4, third), (5, None), (6, ""), (7, None), (None, "a b")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
