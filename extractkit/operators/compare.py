@@ -27,19 +27,21 @@ def flatten_table(df: DataFrame, text: str, key: str = "id") -> DataFrame:
 
 def flatten_rejected(df: DataFrame, text: str, key: str = "id") -> DataFrame:
     """key, reason of the texts that ``flatten_table`` has no rows for: no_json, past_limits, no_leaves."""
-    leaves = with_leaves(df.select(key, text), text, "__leaves")
+    leaves = with_leaves(df.select(key, text), text, "__leaves", reasons=True)
     reason = _reason("__leaves", "").otherwise(F.when(F.size("__leaves") == 0, "no_leaves"))
     return pin(leaves.select(key, reason.alias("reason")), "reason").where("reason is not null")
 
 
-def with_leaves(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add the path -> leaf text map of the object in ``text``, null when it holds no JSON object, and
-    ``<out>_past``: whether it is null only because the text is too large or too deep to read."""
+def with_leaves(df: DataFrame, text: str, out: str, reasons: bool = False) -> DataFrame:
+    """Add the path -> leaf text map of the object in ``text``, null when it holds no JSON object, and with
+    ``reasons`` ``<out>_past``: whether it is null only because the text is too large or too deep to read."""
     df = J.parse_columns(df, {f"__{out}_value": F.col(text)})
     value = F.col(f"__{out}_value")
     leaves = F.when(J.is_object_text(value, F.col(text)), J.flatten_leaves(value, F.col(text)))
-    past = past_limits(F.col(text), value)
-    return df.withColumns({out: leaves, f"{out}_past": past}).drop(f"__{out}_value")
+    added = {out: leaves}
+    if reasons:
+        added[f"{out}_past"] = past_limits(F.col(text), value)
+    return df.withColumns(added).drop(f"__{out}_value")
 
 
 def _reason(leaves: str, suffix: str) -> Column:
@@ -48,8 +50,8 @@ def _reason(leaves: str, suffix: str) -> Column:
     return F.when(lacking & F.col(f"{leaves}_past"), f"past_limits{suffix}").when(lacking, f"no_json{suffix}")
 
 
-def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """key, rejected, and per key a map of path -> (a, b, is_match).
+def match_outputs(left: DataFrame, right: DataFrame, key: str = "id", reasons: bool = True) -> DataFrame:
+    """key, rejected (only with ``reasons``), and per key a map of path -> (a, b, is_match).
 
     The one join pairs the raw texts; they are parsed and matched inside the row, so eleven paths
     per text never become eleven shuffled rows. A text without a JSON object, or absent, rejects
@@ -61,17 +63,14 @@ def match_outputs(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     b = right.select(key, block.alias("__text_b"))
     paired = a.join(b, key, "full_outer")
     for side in ("a", "b"):
-        paired = with_leaves(paired, f"__text_{side}", side)
+        paired = with_leaves(paired, f"__text_{side}", side, reasons)
     both = F.map_zip_with(
         F.col("a"),
         F.col("b"),
         lambda path, x, y: F.struct(x.alias("a"), y.alias("b"), J.same_text(x, y).alias("is_match")),
     )
-    return paired.select(
-        key,
-        _reason("a", "_a").otherwise(_reason("b", "_b")).alias("rejected"),
-        both.alias("paths"),
-    )
+    rejected = [_reason("a", "_a").otherwise(_reason("b", "_b")).alias("rejected")] if reasons else []
+    return paired.select(key, *rejected, both.alias("paths"))
 
 
 def compare_models(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
@@ -99,7 +98,7 @@ def compare_paths(left: DataFrame, right: DataFrame, key: str = "id") -> DataFra
     count as equal. Keys that ``compare_models`` rejects have no rows. Paths appear after the join,
     so they are never shuffled.
     """
-    matched = match_outputs(left, right, key)
+    matched = match_outputs(left, right, key, reasons=False)
     rows = matched.select(key, F.explode_outer("paths").alias("path", "pair")).filter(F.col("path").isNotNull())
     return rows.select(
         key,

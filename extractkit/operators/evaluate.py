@@ -15,40 +15,46 @@ from extractkit.schema import DAMAGE_FIELDS, SEVERITY_FIELD
 MAX_EXAMPLES = 100
 
 
-def parse_gold(gold: DataFrame, key: str = "id") -> DataFrame:
-    """key, gold (VARIANT), gold_ok (parses, and is a non-empty object), gold_reason where it isn't."""
-    return _parsed(gold.select(key, F.coalesce("completion", F.lit("")).alias("__text")), key, "gold")
+def parse_gold(gold: DataFrame, key: str = "id", reasons: bool = False) -> DataFrame:
+    """key, gold (VARIANT), gold_ok: parses, and is a non-empty object. With reasons: gold_reason where it isn't."""
+    return _parsed(gold.select(key, F.coalesce("completion", F.lit("")).alias("__text")), key, "gold", reasons)
 
 
-def parse_predictions(predictions: DataFrame, key: str = "id") -> DataFrame:
-    """key, pred (VARIANT), pred_ok, pred_reason, from the greedy JSON block of ``raw_output``."""
+def parse_predictions(predictions: DataFrame, key: str = "id", reasons: bool = False) -> DataFrame:
+    """key, pred (VARIANT), pred_ok, from the greedy JSON block of ``raw_output``; pred_reason as for gold."""
     block = json_block_greedy(F.coalesce("raw_output", F.lit("")))
-    return _parsed(predictions.select(key, block.alias("__text")), key, "pred")
+    return _parsed(predictions.select(key, block.alias("__text")), key, "pred", reasons)
 
 
-def _parsed(texts: DataFrame, key: str, name: str) -> DataFrame:
+def _parsed(texts: DataFrame, key: str, name: str, reasons: bool) -> DataFrame:
     text = F.col("__text")
     usable = J.is_object_text(F.col(name), text) & ~J.is_empty_object_text(text)
-    found = reading(text, F.col(name))
-    reason = F.when(~usable, F.when(found == "json", "no_object").otherwise(found))
     parsed = J.parse_columns(texts, {name: text})
-    return parsed.select(key, name, usable.alias(f"{name}_ok"), reason.alias(f"{name}_reason"))
+    columns = [F.col(key), F.col(name), usable.alias(f"{name}_ok")]
+    if reasons:
+        found = reading(text, F.col(name))
+        reason = F.when(~usable, F.when(found == "json", "no_object").otherwise(found))
+        columns.append(reason.alias(f"{name}_reason"))
+    return parsed.select(*columns)
 
 
-def pair_gold_pred(gold: DataFrame, predictions: DataFrame, key: str = "id") -> DataFrame:
-    """Every gold row with its prediction, if any: gold, gold_ok, gold_reason and the same of pred.
+def pair_gold_pred(gold: DataFrame, predictions: DataFrame, key: str = "id", reasons: bool = False) -> DataFrame:
+    """Every gold row with its prediction, if any: gold, gold_ok, pred, pred_ok.
 
-    A reason says why a side can't be scored: not_json, past_limits (JSON too large or deep to read),
+    With ``reasons`` also gold_reason and pred_reason, which cost a larger plan. A reason says why a side can't be scored: not_json, past_limits (JSON too large or deep to read),
     no_object (also the empty object), no_row; null where it can.
     """
-    predicted = parse_predictions(predictions, key).withColumn("__there", F.lit(True))
-    paired = parse_gold(gold, key).join(predicted, key, "left")
+    predicted = parse_predictions(predictions, key, reasons)
+    if not reasons:
+        paired = parse_gold(gold, key).join(predicted, key, "left")
+        return paired.withColumn("pred_ok", F.coalesce("pred_ok", F.lit(False)))
+    paired = parse_gold(gold, key, reasons).join(predicted.withColumn("__there", F.lit(True)), key, "left")
     absent = F.when(F.col("__there").isNull(), "no_row").otherwise(F.col("pred_reason"))
     return paired.withColumns({"pred_ok": F.coalesce("pred_ok", F.lit(False)), "pred_reason": absent}).drop("__there")
 
 
 def unusable(paired: DataFrame) -> DataFrame:
-    """side, reason, n_rows: why rows count as invalid, a row of both sides once for each."""
+    """side, reason, n_rows of pairs with reasons: why rows count as invalid, a row of both sides once for each."""
     sides = [F.struct(F.lit(s).alias("side"), F.col(f"{s}_reason").alias("reason")) for s in ("gold", "pred")]
     reasons = paired.select(F.inline_outer(F.array(*sides))).where("reason is not null")
     return reasons.groupBy("side", "reason").agg(F.count("*").alias("n_rows"))

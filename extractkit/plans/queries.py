@@ -329,9 +329,9 @@ def phrase_extract(spark, sf_dir):
     return X.phrase_extract(I.pairs(spark, sf_dir).select("id", "narrative")).drop("narrative")
 
 
-def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _paired(spark: SparkSession, sf_dir: str, reasons: bool = False) -> DataFrame:
     pairs = I.pairs(spark, sf_dir)
-    return A.pair_gold_pred(I.gold(pairs), I.model_outputs(pairs, "a"))
+    return A.pair_gold_pred(I.gold(pairs), I.model_outputs(pairs, "a"), reasons=reasons)
 
 
 @register
@@ -349,7 +349,7 @@ def pair_gold_pred(spark, sf_dir):
 @register
 def eval_unusable(spark, sf_dir):
     """Why gold and predicted texts can't be scored."""
-    return A.unusable(_paired(spark, sf_dir))
+    return A.unusable(_paired(spark, sf_dir, reasons=True))
 
 
 @register

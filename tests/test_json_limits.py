@@ -119,7 +119,8 @@ def test_evaluation_names_the_reason(spark):
     gold = [(0, GOLD), (1, GOLD), (2, GOLD), (3, GOLD), (4, DEEP_OBJECT), (5, "oops"), (6, "[1]"), (7, "{}")]
     found = [(0, GOLD), (1, f"x {DEEP_OBJECT} y"), (2, "none"), (4, GOLD), (5, GOLD), (6, LONG), (7, "a {} b")]
     paired = A.pair_gold_pred(
-        spark.createDataFrame(gold, "id long, completion string"), spark.createDataFrame(found, "id long, raw_output string")
+        spark.createDataFrame(gold, "id long, completion string"), spark.createDataFrame(found, "id long, raw_output string"),
+        reasons=True,
     )
     got = {r.id: (r.gold_reason, r.pred_reason) for r in paired.collect()}
     assert got == {
