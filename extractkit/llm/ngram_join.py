@@ -311,12 +311,26 @@ def _apart(groups: DataFrame, joined: DataFrame, sets: DataFrame, percent: int)
     )
 
 
-def spanning_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that span the components of all links within the groups ``met``.
+def hubs(listed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each id with its signatures' hubs: least, greatest and least by hash.
 
-    ``met`` is from ``grouped``; ``sets`` has the columns of ``set_columns`` for its ids.
+    ``listed`` has (sig, id). Minima are summed up before the shuffle; no group is sorted or gathered.
+    """
+    ends = listed.groupBy("sig").agg(
+        F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("id", F.xxhash64("id")).alias("some")
+    )
+    ends = saved(ends.where("least < most"), "hubs")
+    met = listed.join(small_side(ends, ends.count()), "sig")
+    hub = F.explode(F.array_distinct(F.array("least", "most", "some"))).alias("hub")
+    both = met.select("id", hub).where("id <> hub")
+    return both.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+
+
+def hub_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``hubs`` that link, but for links within components of the others.
+
+    ``sets`` has the columns of ``set_columns`` for all their ids.
     """
-    pairs = saved(_star(met), "pairs")
     # whole sets travel to be checked: one pair of each id first, then what isn't joined by that
     one = saved(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     links = _checked(sets, one, percent)
@@ -325,7 +339,15 @@ def spanning_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rest = pairs.join(one, ["a", "b"], "left_anti").join(ends, "a", "left")
     rest = rest.join(ends.withColumnsRenamed({"a": "b", "ca": "cb"}), "b", "left")
     rest = rest.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    links = links.unionByName(_checked(sets, saved(rest, "pairs"), percent))
+    return links.unionByName(_checked(sets, saved(rest, "pairs"), percent))
+
+
+def spanning_links(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components of all links within the groups ``met``.
+
+    ``met`` is from ``grouped``; ``sets`` has the columns of ``set_columns`` for its ids.
+    """
+    links = hub_links(saved(_star(met), "pairs"), sets, percent)
     more = _apart(met.where("n > 3"), components(links), sets, percent)
     return links.unionByName(_checked(sets, saved(more, "pairs"), percent))
 

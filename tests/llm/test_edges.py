@@ -107,7 +107,7 @@ def test_signatures_meet():
 
 
 def test_paragraphs(odd, none):
-    got = paragraphs.repeated(odd, least=50).collect()
+    got = [r for r in paragraphs.repeated(odd, least=50).collect() if r.kind == "line"]
     assert {r.doc_id for r in got} == {None, 3, 4, 5, 6, 7}
     first = [r for r in got if r.doc_id is None]
     assert [r.removed for r in first] == [False]

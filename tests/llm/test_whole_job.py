@@ -1,10 +1,11 @@
 """Cases that an operator once returned in part."""
 
+import re
 from collections import defaultdict
 
 import numpy as np
 
-from extractkit.llm import licenses, passages, warc
+from extractkit.llm import licenses, paragraphs, passages, warc
 from extractkit.llm.queries import QUERIES as LLM_QUERIES
 from extractkit.session import fresh_path
 from tests.conftest import SMALL
@@ -73,6 +74,62 @@ def test_passages_in_other_lines_and_over_short_lines(spark):
     assert {3, 4, 5, 18, 19, 20} <= {r.doc_id for r in got} and not {0, 1, 2} & {r.doc_id for r in got}
 
 
+def test_dedup_finds_passages_in_other_lines_and_over_short_lines(spark):
+    draw = np.random.default_rng(8)
+
+    def prose(n):
+        return [f"w{x}" for x in draw.integers(0, 10**6, n)]
+
+    texts, planted = {}, {}
+    for n in [50, 51, 55, 60, 75, 120, 400] * 8:
+        passage = prose(n)
+        for copy in range(3):
+            before = prose(int(draw.integers(0, 90)))
+            words = [*before, *passage, *prose(int(draw.integers(0, 90)))]
+            width = (10**6, 7, 30)[copy]
+            lines = (" ".join(words[i : i + width]) for i in range(0, len(words), width))
+            planted[len(texts)] = (len(before), n)
+            texts[len(texts)] = "\n".join(lines)
+    clean = {len(texts) + i: " ".join(prose(300)) for i in range(50)}
+    rows = [*texts.items(), *clean.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = defaultdict(list)
+    for r in paragraphs.repeated(docs).where("kind = 'span'").collect():
+        got[r.doc_id].append(r)
+    assert set(got) == set(planted)
+    for i, (first, n) in planted.items():
+        span = [m.span() for m in re.finditer(r"\S+", texts[i])]
+        for r in got[i]:
+            # inside the passage, whole words, no more than the placing may lose at its ends
+            assert first <= r.paragraph and r.paragraph + r.n_words <= first + n
+            assert (r.start, r.end) == (span[r.paragraph][0], span[r.paragraph + r.n_words - 1][1])
+        assert sum(r.n_words for r in got[i]) >= max(32, n - 36)
+        # the first document of the three keeps its copy; the words next to a passage may be in a span
+        # of two copies alone, whose first is another
+        assert sum(r.n_words for r in got[i] if r.removed == (i % 3 > 0)) >= max(32, n - 36)
+        assert i % 3 or not any(r.removed for r in got[i])
+
+
+def test_dedup_holds_every_passage_that_two_documents_share(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    words = {i: [m for m in re.finditer(r"\S+", t or "")] for i, t in rows}
+    owners = defaultdict(set)
+    for i, found in words.items():
+        low = [m.group().lower() if m.group().isascii() else m.group() for m in found]
+        for k in range(len(low) - 49):
+            owners[tuple(low[k : k + 50])].add((i, k))
+    want = {(i, k) for places in owners.values() if len({i for i, _ in places}) > 1 for i, k in places}
+    found = defaultdict(list)
+    for r in LLM_QUERIES["op2_substring_dedup"](spark, SMALL).collect():
+        found[r.doc_id].append((r.start, r.end))
+    missed = set()
+    for i, k in want:
+        a, b = words[i][k].start(), words[i][k + 49].end()
+        if not any(start < b and a < end for start, end in found[i]):
+            missed.add(i)
+    assert len({i for i, _ in want}) >= 10 and not missed
+
+
 def test_passages_of_the_smallest_table(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = LLM_QUERIES["op2_shared_passages"](spark, SMALL).collect()
