@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from extractkit.functions import jsonvalue as J
 from extractkit.functions.jsonshape import past_limits
 from extractkit.functions.text import is_blank, strip_line, text_array
 from extractkit.schema import DAMAGE_FIELDS, REQUIRED_KEYS, SEVERITIES, SEVERITY_FIELD
+from extractkit.sources.jsonl import numbered_scan
 
 ERROR_TYPE = "array<struct<code:string,path:string>>"
 _DAMAGE = "completion.damage"
@@ -139,6 +140,20 @@ def _staged(df: DataFrame, line: str) -> DataFrame:
     return out.withColumn("__damage_map", F.when(~F.col("__flags_ok"), as_map))
 
 
+def validate_file(spark: SparkSession, path: str, per_file: bool = True) -> DataFrame:
+    """file, line_no, code, path: one row per error of the lines of a file or folder.
+
+    Lines without errors are counted for the numbers of the others and then dropped: only lines at
+    fault meet the table of blocks. Numbers are as in ``sources.jsonl.numbered_scan``.
+    """
+
+    def at_fault(lines: DataFrame) -> DataFrame:
+        found = validate_lines(lines).select("file", "block", "row", F.inline_outer("errors"))
+        return found.filter(F.col("code").isNotNull())
+
+    return numbered_scan(spark, path, per_file, narrow=at_fault)
+
+
 def errors_text(errors: Column) -> Column:
     """The error list as ``code:path|code:path``.
 

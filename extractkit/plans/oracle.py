@@ -632,6 +632,28 @@ def _build() -> dict[str, str]:
             bad_lines_cte(),
             query=f"SELECT row_number() OVER (ORDER BY id) AS line_no, raw, {stripped('raw')} <> '' AS non_blank FROM lines",
         ),
+        "first_lines": with_(
+            doc_pairs,
+            spaced_lines_cte(),
+            "numbered AS (SELECT row_number() OVER (ORDER BY id) AS line_no, raw FROM lines)",
+            query=f"SELECT line_no, raw FROM numbered WHERE {stripped('raw')} <> '' "
+            f"ORDER BY line_no LIMIT {A.MAX_EXAMPLES}",
+        ),
+        "validate_file": with_(
+            checked,
+            "numbered AS (SELECT row_number() OVER (ORDER BY id) AS line_no, errors FROM checked)",
+            query="SELECT line_no, split_part(e, ':', 1) AS code, split_part(e, ':', 2) AS path "
+            "FROM (SELECT line_no, unnest(errors) AS e FROM numbered) u",
+        ),
+        "prompt_files": with_(
+            doc_pairs,
+            f"notes AS (SELECT id, {number(fixture_word('blank'))} % 8 = 0 AS none, narrative FROM pairs)",
+            f"read AS (SELECT id, none, {mentioned.replace('{text}', 'narrative')} FROM notes)",
+            f"replies AS (SELECT id, none, {answer} AS reply FROM read)",
+            "raws AS (SELECT id, none, substr(reply, 9, length(reply) - 14) AS obj FROM replies)",
+            query="SELECT id, CASE WHEN none THEN 'empty_narrative' END AS reason, "
+            f"CASE WHEN NOT none THEN {rendered_object('obj')} END AS output FROM raws",
+        ),
         "jsonl_roundtrip": with_(doc_pairs, query="SELECT prompt, completion FROM pairs"),
         "split_files": with_(
             doc_pairs,

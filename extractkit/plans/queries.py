@@ -228,6 +228,37 @@ def numbered_scan(spark, sf_dir):
     return L.numbered_scan(spark, path, per_file=False).select("line_no", "raw", "non_blank")
 
 
+@register
+def first_lines(spark, sf_dir):
+    """The first hundred lines of a folder that aren't blank, in the order of files and lines."""
+    path = _written_lines(spark, I.spaced_lines(I.pairs(spark, sf_dir)), "lines")
+    return L.first_lines(spark, path, A.MAX_EXAMPLES)
+
+
+@register
+def validate_file(spark, sf_dir):
+    """Every error in a folder of lines, by line number."""
+    path = _written_lines(spark, I.bad_lines(I.order_pairs(spark, sf_dir)), "checked")
+    return V.validate_file(spark, path, per_file=False).select("line_no", "code", "path")
+
+
+@register
+def prompt_files(spark, sf_dir):
+    """Narratives in files of their own, some blank, asked with a template from a file."""
+    path = fresh_path(spark, "job")
+    spark.createDataFrame([(P.PROMPT_TEMPLATE,)], "value string").coalesce(1).write.text(f"{path}/template")
+    blanked = F.when(draws.pick_index(I.fixture_word("blank"), 8) == 0, F.lit(" \t ")).otherwise(F.col("narrative"))
+    texts = I.pairs(spark, sf_dir).select("id", blanked.alias("value"))
+    texts.write.partitionBy("id").text(f"{path}/narratives")
+    answered, rejected = X.prompt_files(
+        spark, f"{path}/template", f"{path}/narratives", X.phrase_predictor, f"{path}/checked"
+    )
+    number = F.regexp_extract("file", r"/id=(-?\d+)/", 1).cast("bigint").alias("id")
+    return answered.select(number, F.lit(None).cast("string").alias("reason"), "output").unionByName(
+        rejected.select(number, "reason", F.lit(None).cast("string").alias("output"))
+    )
+
+
 @register
 def jsonl_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "pairs")
