@@ -6,6 +6,9 @@ the last return the columns of ``documents``; n_chars follows the text where a s
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,23 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words the packing stage keeps per task, whose workers also hold what the stages before left.
 CACHED_WORDS = 250_000
 
+#: How files are cut into tasks must not follow the number of executors alive while rows are told apart by place.
+CUT = "spark.sql.files.minPartitionNum"
+#: Rows in one Arrow batch: Python workers hold a batch in several forms, and documents may be long.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
 def _counted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
@@ -34,8 +54,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near copies the row with the smallest id, of equal ids the first; a null id is the last.
 
     Rows are told apart by their place, not by id: of an id's several texts each has its own group, and
-    of a repeated row one stays. ``docs`` must read alike each time, as a written table does.
+    of a repeated row one stays. ``docs`` must read alike each time, as a written table does; how its
+    files are cut is fixed for the session, since a lost executor would change it between two jobs.
     """
+    if spark.conf.get(CUT, None) is None:
+        spark.conf.set(CUT, str(spark.sparkContext.defaultParallelism))
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     groups = ngram_join.near_duplicates(numbered, id_col="__row")
     rows = saved(groups.join(numbered.select("__row", "doc_id"), "__row"), "groups")
@@ -75,6 +98,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written and read again."""
     docs = read(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
-        docs = saved(stage(spark, docs, sf_dir), f"stage{number}")
+    cut = spark.conf.get(CUT, None) or str(spark.sparkContext.defaultParallelism)
+    with _settings(spark, **{CUT: cut, "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        for number, (_, stage) in enumerate(STAGES):
+            docs = saved(stage(spark, docs, sf_dir), f"stage{number}")
     return docs
