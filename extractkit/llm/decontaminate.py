@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from extractkit.llm.automaton import Automaton
 from extractkit.llm.tables import saved
+from extractkit.llm.textscan import released
 
 #: Words of items in one automaton, about 100 MB in a worker.
 BLOCK_WORDS = 100_000
@@ -83,7 +84,7 @@ def scan(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             automaton = Automaton.__new__(Automaton)
             vars(automaton).update(shared.value)
-            for batch in batches:
+            for batch in released(batches):
                 texts = batch.column(place).to_pylist()
                 spans_before = batch.column(n + 1).to_pylist()
                 items_before = batch.column(n + 2).to_pylist()
@@ -141,7 +142,7 @@ def removed(
     place, spans = found.columns.index(text_col), found.columns.index("hit_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             rows = zip(batch.column(place).to_pylist(), batch.column(spans).to_pylist(), strict=True)
             arrays = list(batch.columns)
             arrays[place] = pa.array([_without(t, s) if s else t for t, s in rows], pa.string())

@@ -37,7 +37,16 @@ from pyspark.sql import functions as F
 
 from extractkit.llm.graph import components
 from extractkit.llm.tables import saved, small_side
-from extractkit.llm.textscan import SPACES, constants, groups, lowered, mix, shingles, word_class
+from extractkit.llm.textscan import (
+    SPACES,
+    constants,
+    groups,
+    lowered,
+    mix,
+    released,
+    shingles,
+    word_class,
+)
 
 #: Sets in one group of equal signatures before they are joined by rare shingles instead.
 GROUP = 6
@@ -143,7 +152,7 @@ def _per_batch(words: int, make):
     """A function for mapInArrow that hands ids and shingle sets of a batch to ``make``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts = lowered(batch.column(1).to_pylist())
             for a, b in groups(texts):
                 sets = shingles(texts[a:b], words, _CLASS)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved
+from extractkit.llm.textscan import release, released
 from extractkit.llm.tokens import CACHED_WORDS, Encoder
 
 #: Pieces packed together by one task.
@@ -38,7 +39,7 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, cached)
-        for batch in batches:
+        for batch in released(batches):
             owner, piece, start, length, crc = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
                 for number, at in enumerate(range(0, len(ids), most)):
@@ -56,6 +57,8 @@ def pieces(
                 pa.array(crc, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "piece", "start", "length", "ids_crc32"])
+        del encoder
+        release()
 
     shape = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long"
     return docs.select(id_col, text_col).mapInArrow(run, shape)
