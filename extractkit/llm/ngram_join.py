@@ -50,6 +50,8 @@ from extractkit.llm.textscan import (
 
 #: Sets in one group of equal signatures before they are joined by rare shingles instead.
 GROUP = 6
+#: Bytes of text scanned at once; a scan holds about forty times as much.
+SCAN_BYTES = 1 << 18
 #: Size ratio of a band.
 BAND = 3
 #: Counters of the table of how common shingles are.
@@ -154,7 +156,7 @@ def _per_batch(words: int, make):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in released(batches):
             texts = lowered(batch.column(1).to_pylist())
-            for a, b in groups(texts):
+            for a, b in groups(texts, SCAN_BYTES):
                 sets = shingles(texts[a:b], words, _CLASS)
                 yield from make(batch.column(0).slice(a, b - a), sets)
 
