@@ -51,10 +51,59 @@ def test_string_keys(spark):
 def test_split_plan_shuffles_rows_once_and_never_into_one_task(spark):
     df = generate_pairs(spark.range(100)).select("id", "prompt", "completion")
     plan = S.split_exact(df)._jdf.queryExecution().executedPlan().toString()
-    rows = [line for line in plan.split("\n") if "Exchange" in line]
-    assert sum("shufflepartitionidpassthrough" in line for line in rows) == 1
-    single = plan[plan.index("Exchange SinglePartition") :]
-    assert "narrative" not in single and "prompt" not in single
+    rows = [line for line in plan.split("\n") if "Exchange" in line and "BroadcastExchange" not in line]
+    assert len(rows) == 1 and "shufflepartitionidpassthrough" in rows[0]
+    assert "SinglePartition" not in plan
+
+
+def skewed(spark, n=4000):
+    """Half of the rows share one key; some rows are equal in all columns."""
+    key = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), "id"))
+    return spark.range(n).select(key.alias("key"), (F.col("id") % 1500).alias("n"))
+
+
+@pytest.mark.parametrize("train,valid", [(800, 100), (0.6, 0.2), (1999, 2), (0, 0), (5000, 10)])
+def test_a_key_with_half_of_the_rows(spark, train, valid):
+    df, n = skewed(spark), 4000
+    hashes = {r.key: hashlib.md5(f"42:{r.key}".encode()).hexdigest() for r in df.select("key").distinct().collect()}
+    sizes = [int(n * s) if isinstance(s, float) else s for s in (train, valid)]
+    names = (["train"] * sizes[0] + ["valid"] * sizes[1] + ["test"] * n)[:n]
+    results = {}
+    for label, most in (("ranges", 100), ("buckets", 1_000_000)):
+        rows = S.split_exact(df, "key", train, valid, buckets=16, rows_per_task=most).collect()
+        place = {"train": 0, "valid": sizes[0], "test": sum(sizes)}
+        rank = [place[r.split] + r.pos for r in rows]
+        # the result is in order as a whole, without gaps, and keys are in the order of their hashes
+        assert rank == list(range(1, n + 1))
+        assert [r.split for r in rows] == names
+        assert [hashes[r.key] for r in rows] == sorted(hashes[r.key] for r in rows)
+        results[label] = [(r.key, r.n) for r in rows]
+        members = S.assign_splits(df, "key", train, valid, buckets=16, rows_per_task=most).collect()
+        assert sorted((r.key, r.n, r.split) for r in members) == sorted((r.key, r.n, r.split) for r in rows)
+    assert results["ranges"] == results["buckets"]
+    assert sorted(results["ranges"]) == sorted((r.key, r.n) for r in df.collect())
+
+
+def test_a_hot_key_is_cut_into_several_tasks(spark):
+    rows = S.split_exact(skewed(spark), "key", 0.8, 0.1, buckets=16, rows_per_task=100)
+    sizes = rows.groupBy(F.spark_partition_id()).count().select("count").collect()
+    assert max(r["count"] for r in sizes) <= 4000 // 16 + 1
+
+
+def test_columns_without_a_hash_and_clashing_names(spark):
+    df = spark.range(40).selectExpr("id % 2 AS id", "map('a', id) AS m", "'x' AS before", "parse_json('[1]') AS v")
+    rows = S.split_exact(df, train=10, valid=10, buckets=4).selectExpr("id", "m['a'] AS a", "before", "split", "pos")
+    again = S.split_exact(df.repartition(7), train=10, valid=10, buckets=9, rows_per_task=1)
+    again = again.selectExpr("id", "m['a'] AS a", "before", "split", "pos")
+    assert sorted(rows.collect()) == sorted(again.collect())
+
+
+def test_buckets_follow_rows_and_bytes(spark):
+    df = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert S.default_buckets(df, rows_per_task=100) == 50
+    assert S.default_buckets(df, bytes_per_task=100_000) >= 50
+    assert S.default_buckets(df) == 4
+    assert S.default_buckets(df, bytes_per_task=1) == S.MOST_BUCKETS
 
 
 def test_counts_gate_and_first_n(spark):
