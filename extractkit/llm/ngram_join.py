@@ -52,12 +52,14 @@ from extractkit.llm.textscan import (
 GROUP = 6
 #: Bytes of text scanned at once; a scan holds about forty times as much.
 SCAN_BYTES = 1 << 18
+#: Groups that two sets of a group may both have been in just before, for the pair to be left out.
+EARLIER = 4
 #: Size ratio of a band.
 BAND = 3
 #: Counters of the table of how common shingles are.
 COUNTERS = 1 << 17
-#: Bits of a set's bitmap, and of the shorter one used where many pairs are compared.
-BITS, FEW = 2048, 512
+#: Bits of a set's bitmap.
+BITS = 2048
 #: Sets of more elements have a wider bitmap too, which is compared before whole sets travel.
 LARGE, WIDE = 1000, 32_768
 
@@ -295,27 +297,43 @@ def _checked(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _apart(groups: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a group's members that are in different components and may link."""
+    """Pairs of a group's members that are in different components and may link.
+
+    Sets that share a passage meet in a group for each of its rare shingles. Of groups with the same members one
+    is looked at. In the others a pair is left out where one of the last ``EARLIER`` groups of both, in an
+    order of all groups that keeps those with the same hub together, is the same: it was made there. Pairs are
+    judged by whole bitmaps as they are made.
+    """
     known = groups.join(joined, "id", "left").select(
-        "sig", "id", F.coalesce("component", "id").alias("c")
+        "sig", "id", "hub", F.coalesce("component", "id").alias("c")
     )
-    parts = known.groupBy("sig", "c").count()
+    members = [F.sum(F.shiftright(F.xxhash64("id", F.lit(i)), 32)).alias(f"x{i}") for i in range(3)]
+    parts = known.groupBy("sig", "c").agg(F.count("*").alias("count"), *members)
     mixed = (
         parts.groupBy("sig")
-        .agg(F.max_by("c", "count").alias("main"), F.count("*").alias("parts"))
+        .agg(
+            F.max_by("c", F.struct("count", "c")).alias("main"),
+            F.count("*").alias("parts"),
+            F.sum("count").alias("n"),
+            *[F.sum(f"x{i}").alias(f"x{i}") for i in range(3)],
+        )
         .where("parts > 1")
     )
-    members = saved(
-        known.join(mixed, "sig").join(_bits(sets, FEW // 64), "id").drop("parts"), "open"
-    )
+    once = mixed.groupBy("x0", "x1", "x2", "n").agg(F.min_by(F.struct("sig", "main"), "sig").alias("of")).select("of.*")
+    of_set = Window.partitionBy("id").orderBy("hub", "sig")
+    earlier = F.array_compact(F.array(*[F.lag("sig", i).over(of_set) for i in range(1, EARLIER + 1)]))
+    open_ = known.join(once, "sig").withColumn("earlier", earlier).drop("hub")
+    open_ = saved(open_.join(_bits(sets, BITS // 64), "id"), "open")
     # of two components one is not the group's largest
-    left, right = _side(members.where("c <> main"), "a"), _side(members, "b")
+    left, right = _side(open_.where("c <> main"), "a"), _side(open_, "b")
     return (
         left.join(
             right,
             (F.col("siga") == F.col("sigb"))
             & (F.col("ca") != F.col("cb"))
-            & _near(FEW // 64, percent),
+            & ((F.col("cb") == F.col("mainb")) | (F.col("a") < F.col("b")))
+            & ~F.arrays_overlap("earliera", "earlierb")
+            & _near(BITS // 64, percent),
         )
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()

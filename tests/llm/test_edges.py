@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -90,6 +91,42 @@ def test_join_finds_every_link_in_hot_groups(spark):
     assert got == brute.classes({i: brute.shingle_set(t) for i, t in enumerate(texts)})
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_between_components_of_a_group(spark, seed):
+    """No linking pair of one group is left out because it was made elsewhere; repeated rows don't matter."""
+    draw = np.random.default_rng(seed)
+    base = draw.integers(0, 1 << 62, 100, dtype=np.uint64)
+    sets = []
+    for _ in range(40):
+        own = base.copy()
+        own[draw.choice(100, int(draw.integers(0, 25)), replace=False)] += np.uint64(1 << 21)
+        sets.append(np.unique(own))
+    # runs of groups with the same members, with slightly other members, and lone ones
+    groups, sig = [], 0
+    for _ in range(12):
+        members = draw.choice(40, int(draw.integers(2, 20)), replace=False)
+        for _ in range(int(draw.integers(1, 8))):
+            kept = members[draw.random(len(members)) < draw.choice([0.7, 1.0])]
+            groups += [(sig, int(i), int(members.min())) for i in kept for _ in range(1 + int(draw.random() < 0.1))]
+            sig += 1
+    order = {s: int(x) for s, x in enumerate(draw.permutation(sig))}
+    hub = {s: min(i for t, i, _ in groups if t == s) for s, _, _ in groups}
+    groups = [(order[s], i, hub[s]) for s, i, _ in groups]
+    of = {i: int(draw.choice([0, 1, 2, i])) for i in range(40)}
+    columns = ngram_join.set_columns(pa.array(range(40)), sets)
+    table = spark.createDataFrame(pa.Table.from_batches([columns]))
+    met = spark.createDataFrame(groups, "sig long, id long, hub long")
+    joined = spark.createDataFrame(list(of.items()), "id long, component long")
+    pairs = [(r.a, r.b) for r in ngram_join._apart(met, joined, table, 75).collect()]
+    together = {}
+    for s, i, _ in groups:
+        together.setdefault(s, set()).add(i)
+    could = {(a, b) for m in together.values() for a in m for b in m if a < b and of[a] != of[b]}
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in could}
+    must = {(a, b) for (a, b), n in common.items() if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n)}
+    assert must and must <= set(pairs) <= could and len(pairs) == len(set(pairs))
+
+
 def test_signatures_meet():
     """Any two sets at the threshold share a signature, and a rare shingle."""
     draw = np.random.default_rng(7)
