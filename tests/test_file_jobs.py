@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from extractkit.operators import extract, validate
+from extractkit.plans import inputs
 from extractkit.schema import DAMAGE_FIELDS
 from extractkit.session import fresh_path
 from extractkit.sources import jsonl
@@ -94,3 +95,33 @@ def test_prompts_from_a_folder(spark, tmp_path):
     assert none == {("b.txt", "empty_narrative"), ("c%20%5B1%5D%25.txt", "empty_narrative")}
     with pytest.raises(ValueError, match="one template"):
         extract.prompt_files(spark, str(texts), str(texts), predictor, out + "x")
+
+
+def test_a_file_for_each_text_without_sparks_writer(spark, tmp_path):
+    rows = [(1, "a"), (2, ""), (None, "é\nx"), (1, "a"), (-7, None), (2, " ")]
+    texts = spark.createDataFrame(rows, "id long, value string").coalesce(1)
+    texts.write.partitionBy("id").text(str(tmp_path / "spark"))
+    inputs.write_apart(texts, str(tmp_path / "apart"))
+    wanted, got = (
+        sorted((str(r.id), sorted(r.value.split("\n"))) for r in spark.read.text(f"{tmp_path}/{x}", wholetext=True).collect())
+        for x in ("spark", "apart")
+    )
+    assert got == wanted and len(got) == 4
+    # Spark's writer leaves a checksum beside each text, set up by processes of its own
+    assert not list((tmp_path / "apart").rglob("*.crc")) and not list((tmp_path / "apart").glob("*/.*"))
+
+
+def test_small_files_are_read_in_few_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"id={i}").mkdir()
+        (tmp_path / f"id={i}" / "t.txt").write_text("" if i % 10 == 0 else f"text {i}")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    read, listed = jsonl.named_files(spark, str(tmp_path))
+    with jsonl.many_files(spark):
+        assert read.rdd.getNumPartitions() <= 4 and listed.count() == 200
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+    answered, rejected = extract.prompt_files(
+        spark, str(tmp_path / "id=1"), str(tmp_path), lambda: lambda prompts: prompts, fresh_path(spark, "job")
+    )
+    assert answered.count() == 180
+    assert {r.reason for r in rejected.collect()} == {"empty_narrative"} and rejected.count() == 20
