@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ MAX_LENGTH = 512
 # Distinct tokens a task remembers the ids of.
 MOST_TOKENS = 200_000
 
+# Bytes of text given to a tokenizer at once: its lists of ids take many times as much until they are cut.
+CALL_BYTES = 1 << 20
+
 Tokenize = Callable[[str], list[int]]
 TokenizeBatch = Callable[[list[str]], list[list[int]]]
 
@@ -38,16 +42,17 @@ def encode_tokens(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
 
 def encode_batches(df: DataFrame, make_tokenizer: Callable[[], TokenizeBatch], key: str = "id",
                    max_length: int = MAX_LENGTH) -> DataFrame:
-    """key, ids, prompt_len by a caller's own tokenizer, built once per task and called once per Arrow batch.
+    """key, ids, prompt_len by a caller's own tokenizer, built once per task and called once per Arrow batch, or
+    once for every ``CALL_BYTES`` of a larger one, so that what a call holds doesn't follow the length of texts.
 
-    It gets the batch's prompts and the prompts with their completions in one list. Ids leave as one
+    It gets the prompts and the prompts with their completions in one list. Ids leave as one
     flat buffer and its offsets; no row becomes a Python object but its lists of ids. A null text is empty. A
     tokenizer that gives another number of lists than it got texts stops the job.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenize = make_tokenizer()
-        for batch in batches:
+        for batch in chain.from_iterable(map(_pieces, batches)):
             prompts, completions = ([t or "" for t in batch.column(i).to_pylist()] for i in (1, 2))
             n = len(prompts)
             lists = tokenize([*prompts, *(p + c for p, c in zip(prompts, completions, strict=True))]) if n else []
@@ -67,6 +72,15 @@ def encode_batches(df: DataFrame, make_tokenizer: Callable[[], TokenizeBatch], k
     return df.select(key, "prompt", "completion").mapInArrow(run, f"{key} {key_type}, ids array<int>, prompt_len int")
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts are ``CALL_BYTES`` at most, but for the run's last; at least one."""
+    prompt, completion = (pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy().astype(np.int64) for i in (1, 2))
+    run = np.cumsum(2 * prompt + completion) // CALL_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for first, stop in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(first, stop - first)
+
+
 def encode_with(df: DataFrame, make_tokenizer: Callable[[], Tokenize], key: str = "id",
                 max_length: int = MAX_LENGTH) -> DataFrame:
     """``encode_batches`` for a tokenizer of one text."""

@@ -8,6 +8,7 @@ import pytest
 
 from extractkit.operators import evaluate as A
 from extractkit.operators import extract as X
+from extractkit.operators import encode
 from extractkit.operators.encode import encode_batches, encode_tokens, word_tokenizer
 
 GOLD = '{"damage":{"mould":true},"overall_severity":"low"}'
@@ -116,3 +117,21 @@ def test_tokenizer_is_called_once_a_batch(spark, tmp_path):
     assert len((tmp_path / "calls").read_text().split()) == 1
     with pytest.raises(Exception, match="lists of ids"):
         encode_batches(df, lambda: lambda texts: [[]]).collect()
+
+
+def test_a_call_of_the_tokenizer_has_bounded_text(spark, tmp_path):
+    def make():
+        def tokenize(texts):
+            with open(tmp_path / "calls", "a") as out:
+                out.write(f"{sum(map(len, texts))}\n")
+            return [[len(t)] * len(t) for t in texts]
+
+        return tokenize
+
+    long = "repeat('ab', 20000)"
+    df = spark.range(300).selectExpr("id", f"if(id = 7, null, {long}) AS prompt", "'c' AS completion").coalesce(1)
+    got = encode_batches(df, make).where("prompt_len = 512 and size(ids) = 512 and ids[0] = 40001")
+    assert got.count() == 299
+    calls = [int(x) for x in (tmp_path / "calls").read_text().split()]
+    # a batch of all 300 rows would be 24 MB in one call
+    assert max(calls) <= encode.CALL_BYTES + 80_001 and sum(calls) == 299 * 80_001 + 1
