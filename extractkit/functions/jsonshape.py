@@ -3,8 +3,8 @@
 The reader behind ``parse_columns`` has limits (below); a text past one of them is null to it, as is a
 text that isn't JSON. These expressions tell the two apart. The text is reduced step by step: escapes,
 then strings, then numbers and words become one character each, white space goes, and what remains is brackets, commas
-and those characters. Which of them may follow which is one pattern. Brackets are then removed from the inside out; what is
-nested deeper than that is folded over once, with a stack of one bit a level.
+and those characters. Which of them may follow which is one pattern. Brackets are then removed from the inside out, while that
+shortens the text; what is nested deeper is folded over once, run by run of brackets, with a text of the open ones as stack.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ MOST_BYTES = 128 << 20
 
 #: Levels removed from the inside out before the fold.
 _ROUNDS = 48
-#: Levels held by one number of the fold's stack.
-_HELD = 62
+#: They go on while a round leaves at most this share of the text.
+_LEFT = (15, 16)
 
 _STRING, _VALUE, _KEY = "\x01", "\x02", "\x03"
 _ESCAPE = r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})'
@@ -36,7 +36,10 @@ _BEGIN = r"[^\x02{\[]"
 _WRONG = (
     rf"^(?:{_BEGIN}|$)|\{{[^\x03}}]|\[[^\x02{{\[\]]|,[^\x03\x02{{\[]|\x03{_BEGIN}|[\x02}}\]][^,}}\]]|[{{\[,\x03]$"
 )
-_STACK = "struct<ok:boolean,top:bigint,n:int,rest:array<bigint>>"
+#: Of two commas, or a comma and a bracket, side by side: not in the same kind of bracket.
+_MIXED = r"ck|kc|\[[k}]|\{[c\]]|c\}|k\]"
+_STACK = "struct<ok:boolean,open:string>"
+_ROUND = "struct<rest:string,more:boolean>"
 
 
 def _replaced(text: Column, pattern: str, by: str) -> Column:
@@ -59,39 +62,37 @@ def _closed(outline: Column) -> Column:
     """Whether brackets pair up and commas stand where their kind of bracket wants them."""
     # a comma before a key belongs in an object (k), any other in an array (c)
     marks = F.translate(F.replace(outline, F.lit("," + _KEY), F.lit("k")), "," + _KEY + _VALUE, "c")
-    rounds = F.array_repeat(F.lit(0), _ROUNDS)
-    rest = F.aggregate(
-        rounds, marks, lambda x, _: F.when(x == "", x).otherwise(_replaced(x, r"\{k*+\}|\[c*+\]", ""))
-    )
-
-    def step(s: Column, c: Column) -> Column:
-        kind = F.when(c.isin("{", "}", "k"), 1).otherwise(0).cast("bigint")
-        full = s["n"] == _HELD
-        pushed = F.struct(
-            s["ok"],
-            F.when(full, kind).otherwise(s["top"] * 2 + kind).alias("top"),
-            F.when(full, 1).otherwise(s["n"] + 1).alias("n"),
-            F.when(full, F.concat(s["rest"], F.array(s["top"]))).otherwise(s["rest"]).alias("rest"),
-        )
-        fits = (s["n"] > 0) & (s["top"] % 2 == kind)
-        refill = (s["n"] == 1) & (F.size(s["rest"]) > 0)
-        popped = F.struct(
-            fits.alias("ok"),
-            F.when(refill, F.try_element_at(s["rest"], F.lit(-1))).otherwise(F.shiftright(s["top"], 1)).alias("top"),
-            F.when(refill, _HELD).otherwise(s["n"] - 1).alias("n"),
-            F.when(refill, F.slice(s["rest"], 1, F.greatest(F.size(s["rest"]) - 1, F.lit(0)))).otherwise(s["rest"]).alias("rest"),
-        )
-        moved = F.when(c.isin("{", "["), pushed.cast(_STACK)).when(c.isin("}", "]"), popped.cast(_STACK))
-        kept = F.struct(fits.alias("ok"), s["top"].alias("top"), s["n"].alias("n"), s["rest"].alias("rest"))
-        return F.when(~s["ok"], s).otherwise(moved.otherwise(kept.cast(_STACK)))
-
-    start = F.expr(f"cast(named_struct('ok', true, 'top', 0L, 'n', 0, 'rest', array()) as {_STACK})")
+
+    def round_(s: Column, _: Column) -> Column:
+        def judged(less: Column) -> Column:
+            # a deep chain loses one level a round: the fold takes it at once
+            more = (less != "") & (F.length(less) * _LEFT[1] <= F.length(s["rest"]) * _LEFT[0])
+            return F.struct(less.alias("rest"), more.alias("more")).cast(_ROUND)
+
+        return F.when(s["more"], _bound(_replaced(s["rest"], r"\{k*+\}|\[c*+\]", ""), judged)).otherwise(s)
+
+    def step(s: Column, run: Column) -> Column:
+        kind = F.substring(run, 1, 1)
+        n = F.length(run)
+        wanted = F.translate(F.reverse(run), "]}ck", "[{[{")
+        fits = F.right(s["open"], n) == wanted
+        left = F.when(kind.isin("c", "k"), s["open"]).otherwise(F.left(s["open"], F.length(s["open"]) - n))
+        pushed = F.struct(s["ok"].alias("ok"), F.concat(s["open"], run).alias("open")).cast(_STACK)
+        matched = F.struct(fits.alias("ok"), left.alias("open")).cast(_STACK)
+        return F.when(~s["ok"], s).when(kind.isin("{", "["), pushed).otherwise(matched)
+
+    start = F.struct(F.lit(True).alias("ok"), F.lit("").alias("open")).cast(_STACK)
 
     def settled(rest: Column) -> Column:
-        folded = F.aggregate(F.split(rest, ""), start, step, lambda s: s["ok"] & (s["n"] == 0))
-        return F.when(rest == "", True).otherwise(folded)
+        # marks beside a bracket that holds them are judged there; what remains stands between two of its members
+        bare = _replaced(_replaced(rest, r"(?<=[\[{])[ck]++|[ck]++(?=[\]}])", ""), r"(?<=[ck])[ck]++", "")
+        runs = F.regexp_extract_all(bare, F.lit(r"[\[{]++|[\]}]++|[ck]"), F.lit(0))
+        folded = F.aggregate(runs, start, step, lambda s: s["ok"] & (s["open"] == ""))
+        return F.when(rest == "", True).when(rest.rlike(_MIXED), False).otherwise(folded)
 
-    return _bound(rest, settled)
+    first = F.struct(marks.alias("rest"), F.lit(True).alias("more")).cast(_ROUND)
+    rounds = F.array_repeat(F.lit(0), _ROUNDS)
+    return _bound(F.aggregate(rounds, first, round_, lambda s: s["rest"]), settled)
 
 
 def well_formed(text: Column) -> Column:

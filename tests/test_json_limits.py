@@ -1,6 +1,8 @@
 """JSON past the reader's limits is told from texts that are no JSON."""
 
 import json
+import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -150,3 +152,45 @@ def test_flattening_names_the_reason(spark):
     df = spark.createDataFrame(rows, "id long, text string")
     got = {r.id: r.reason for r in C.flatten_rejected(df, "text").collect()}
     assert got == {1: "past_limits", 2: "no_leaves", 3: "no_json", 4: "no_json", 5: "past_limits", 6: "no_json"}
+
+
+def test_structure_of_random_brackets(spark):
+    draw = random.Random(3)
+
+    def value(depth):
+        if depth == 0 or draw.random() < 0.2:
+            return draw.choice(["1", '"a"', "[]", "{}", "null"])
+        inner = [value(depth - 1) for _ in range(draw.choice([1, 1, 1, 2, 3]))]
+        if draw.random() < 0.5:
+            return "[" + ", ".join(inner) + "]"
+        return "{" + ",".join(f'"k{i}":{x}' for i, x in enumerate(inner)) + "}"
+
+    texts = [value(draw.randrange(12)) for _ in range(300)]
+    # chains around them, of both kinds and with members before and after, deeper than the rounds reach
+    for text in texts[:40]:
+        for _ in range(120):
+            text = draw.choice(["[%s]", "[1,%s]", "[%s,[]]", '{"a":%s}', '{"a":1,"b":%s,"c":{}}', "[[2],%s,[[3]]]"]) % text
+        texts.append(text)
+    for text in list(texts):
+        at = draw.randrange(len(text))
+        texts.append(text[:at] + draw.choice('[]{},:1"') + text[at + draw.choice([0, 1]) :])
+    texts += ["1,2", "[1],[2]", '{"a":[1,"b":2]}', '[{"a":1,2}]', "[]]", "[[]", "[}", "{]", '[[],"a":[]]', '{"a":[],[]}', ""]
+
+    def holds(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return False
+        return True
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+    got = {r.id: r.ok for r in df.select("id", S.well_formed(F.col("text")).alias("ok")).collect()}
+    assert [(t, got[i]) for i, t in enumerate(texts) if got[i] != holds(t)] == []
+
+
+def test_deep_chains_are_folded_by_runs(spark):
+    df = spark.range(2_000).select(F.concat(F.repeat(F.lit("["), F.lit(20_000)), F.repeat(F.lit("]"), F.lit(20_000))).alias("t"))
+    began = time.time()
+    assert df.where(S.well_formed(F.col("t"))).count() == 2_000
+    # level by level this took minutes
+    assert time.time() - began < 60
