@@ -12,8 +12,8 @@ Both go the same way, by their five-word shingles:
 - Equal paragraphs are collapsed first.
 - MinHash: ``BANDS`` bands of ``ROWS`` values. A pair at similarity s shares a band with probability
   1 - (1 - s^ROWS)^BANDS: 0.9995 at 0.75.
-- Paragraphs that collide in a band are paired with the band's hubs (the least, the greatest, and the
-  least by hash): pairs grow with the paragraphs, never with the square of a group.
+- Paragraphs that collide in a band are paired with the least of the band and their neighbour; of bands whose
+  members these links do not hold together, all members of different components are compared as well.
 - Pairs are checked by the exact Jaccard similarity of whole shingle sets.
 - Components of the links are the clusters; the first paragraph of each stays, by document id and
   place, the others are marked for removal.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from extractkit.llm.anchors import rolled_shingles, spans
 from extractkit.llm.graph import components
-from extractkit.llm.ngram_join import SETS, hub_links, hubs, set_columns
+from extractkit.llm.ngram_join import SETS, grouped, set_columns, spanning_links
 from extractkit.llm.tables import saved, small_side
 from extractkit.llm.textscan import (
     SPACES,
@@ -223,9 +223,8 @@ def repeated(
         "paragraph-classes",
     )
     listed = classes.select(F.explode("bands").alias("sig"), F.col("rep").alias("id"))
-    pairs = saved(hubs(listed), "collisions")
-    ends = F.explode(F.array("a", "b")).alias("id")
-    wanted = saved(pairs.select(ends).distinct(), "wanted")
+    met = saved(grouped(listed), "collisions")
+    wanted = saved(met.select("id").distinct(), "wanted")
     asked = small_side(wanted, wanted.count())
     sources = saved(
         lines.join(asked, F.col("pid") == F.col("id"), "left_semi").select(F.col("doc").alias("id")).distinct(),
@@ -234,7 +233,7 @@ def repeated(
     from_ = named.join(small_side(sources, sources.count()), named["id"].eqNullSafe(sources["id"]), "left_semi")
     sets = _scan(from_, least, True).unionByName(placed.select("id", "size", "bits", "wide", "shingles"))
     sets = saved(sets.join(asked, "id", "left_semi").dropDuplicates(["id"]), "shingle-sets")
-    links = components(hub_links(pairs, sets, percent))
+    links = components(spanning_links(met, sets, percent))
     single = classes.select("d1", "d2", "rep", "n")
     cluster = single.join(links, single["rep"] == links["id"], "left").select(
         "d1",

@@ -325,3 +325,19 @@ def test_pipeline_drops_copies_by_row(spark, tmp_path):
     assert left.columns == docs.columns
     want = [(1, BASE), (2, other), (4, third), (5, None), (6, ""), (7, None), (None, "a b")]
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_near_lines_that_resemble_no_hub_are_linked(spark):
+    # lines that differ from one text at two places: at the same places 0.81 alike, else 0.73 or 0.66, and no
+    # shingles that only a pair has, so every band's groups hold many pairs
+    places = [(i, j) for i in range(5, 100, 5) for j in range(i + 5, 100, 5)][:150]
+    rows = []
+    for n, at in enumerate(places):
+        for one in range(2):
+            words = [f"o{n}x{one}x{i}" if i in at else f"s{i}" for i in range(100)]
+            rows.append((2 * n + one, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clusters = {}
+    for r in paragraphs.repeated(docs).where("kind = 'line'").collect():
+        clusters.setdefault(r.cluster, set()).add(r.doc_id)
+    assert sorted(clusters.values(), key=min) == [{2 * n, 2 * n + 1} for n in range(150)]
