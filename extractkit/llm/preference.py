@@ -1,11 +1,14 @@
 """Quality classifier: Bradley-Terry scores learnt from preference pairs.
 
 A document labelled good is preferred to one labelled bad. Scores are linear in features of the text
-and learnt by logistic loss on feature differences of such pairs. The threshold is a quantile of the
-training documents' scores: that at which most of both classes fall on their side.
+and learnt by logistic loss on feature differences of such pairs. The threshold is the score that
+leaves most of both classes on their side.
 
-Labels are learnt from a bounded sample: at most about ``SAMPLE`` labelled documents of each class,
-chosen by a hash of their id, and ``PAIRS`` pairs of them. Everything else runs over all rows.
+Every labelled document that isn't held out is learnt from. All pairs of the two classes would be as
+many as their product, so each document of the larger class meets ``PARTNERS`` of the smaller (all, if
+fewer), and each of the smaller as many times as that makes. Rows are dealt to groups for it; each step of
+the fit is one pass over all groups, of which only sums reach the driver. Centre, scale and threshold come
+from all these documents too, none from a sample or a grid.
 """
 
 from __future__ import annotations
@@ -15,14 +18,16 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved
+from extractkit.operators.prefix import running_total
 
-#: Labelled documents of each class that are fitted, and pairs of them.
-SAMPLE, PAIRS = 20_000, 100_000
+#: Documents of the larger class in a group, and documents of the smaller that each of them meets.
+GROUP, PARTNERS = 4096, 32
 #: Score of a document at the threshold.
 CUT = 0.7
 FEATURES = (
@@ -95,47 +100,139 @@ def featured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(*kept.columns, text_col).mapInArrow(run, rows._jdf.schema().toDDL())
 
 
-def fit(good: np.ndarray, bad: np.ndarray, seed: int = 5, ridge: float = 1e-3, steps: int = 25):
+def _sums(groups: DataFrame, make, width: int) -> np.ndarray:
+    """Sum over all groups, in their order, of the ``width`` numbers that ``make`` returns for one.
+
+    ``make`` is given the group's number and the features (rows by features) and weights of the larger
+    class, then of the smaller.
+    """
+    f = len(FEATURES) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for i, group in enumerate(batch.column(0).to_pylist()):
+                sides = [batch.column(k)[i].values.to_numpy().reshape(-1, f) for k in (1, 2)]
+                made.append(make(group, *[x for side in sides for x in (side[:, :-1], side[:, -1])]))
+            columns = [batch.column(0), pa.array(made, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["group", "sums"])
+
+    found = groups.mapInArrow(run, "group long, sums array<double>").toPandas().sort_values("group")
+    return np.array(found["sums"].tolist(), dtype=float).reshape(-1, width).sum(axis=0)
+
+
+def _dealt(train: DataFrame, larger: int, n: int, m: int) -> DataFrame:
+    """``n`` groups as (group, many, few): flat features and weight of each row of the larger and the smaller class.
+
+    The larger class is dealt out by a hash. The smaller is dealt into ``m`` shards, and every group gets
+    one of them, so that none lacks a class; shard k is first in group k.
+    """
+    at = F.xxhash64("__features", F.lit(5))
+    many = train.where(F.col("q") == larger).withColumn("group", F.pmod(at, F.lit(n)))
+    few = train.where(F.col("q") != larger).withColumn("shard", F.pmod(at, F.lit(m)))
+    every = F.sequence("shard", F.lit(n - 1).cast("long"), F.lit(m).cast("long"))
+    both = many.unionByName(few.withColumn("group", F.explode(every)).drop("shard"))
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        flat = []
+        for side in (frame["q"] == larger, frame["q"] != larger):
+            own = frame[side].sort_values("order", kind="stable")
+            values = np.array(own["__features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
+            flat.append(np.column_stack([values, own["weight"].to_numpy(float)]).ravel())
+        return pd.DataFrame({"group": [int(frame["group"].iloc[0])], "many": flat[:1], "few": flat[1:]})
+
+    both = both.withColumn("order", F.xxhash64("__features", F.lit(6)))
+    packed = both.groupBy("group").applyInPandas(pack, "group long, many array<double>, few array<double>")
+    return saved(packed, "preference-groups")
+
+
+def _moments(centre: np.ndarray, shards: int):
+    """A function of one group: weights, and weighted sums and squares of features less ``centre``, each row once."""
+
+    def make(group, many, many_weight, few, few_weight) -> np.ndarray:
+        out = np.zeros(1 + 2 * len(FEATURES))
+        for rows, weight in ((many, many_weight), (few, few_weight))[: 1 + (group < shards)]:
+            off = rows - centre
+            out += np.concatenate([[weight.sum()], weight @ off, weight @ (off * off)])
+        return out
+
+    return make
+
+
+def _slope_and_curve(weights: np.ndarray, centre: np.ndarray, scale: np.ndarray, sign: int):
+    """A function of one group: sums of the weights, slopes and curvatures of its pairs."""
+    f = len(FEATURES)
+
+    def make(_, many, many_weight, few, few_weight) -> np.ndarray:
+        out = np.zeros(1 + f + f * f)
+        many, few = (many - centre) / scale, (few - centre) / scale
+        row = np.arange(len(many))
+        for k in range(min(PARTNERS, len(few))):
+            j = (row + k) % len(few)
+            differ, pair = sign * (many - few[j]), many_weight * few_weight[j]
+            p = 1 / (1 + np.exp(-np.clip(differ @ weights, -30, 30)))
+            out[0] += pair.sum()
+            out[1 : 1 + f] += differ.T @ (pair * (p - 1))
+            out[1 + f :] += ((differ * (pair * p * (1 - p))[:, None]).T @ differ).ravel()
+        return out
+
+    return make
+
+
+def _linear(weights: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> Column:
+    total = F.lit(-float(weights @ (centre / scale)))
+    for k, w in enumerate(weights / scale):
+        total = total + F.col("__features")[k] * float(w)
+    return total
+
+
+def _threshold(train: DataFrame, linear: Column) -> float:
+    """Of all scores the one that leaves the most of both classes, as shares, on their side.
+
+    The least if several do; half way to the next lower score.
+    """
+    scores = train.groupBy(linear.alias("score")).agg(
+        F.sum(F.when(F.col("q") == 1, F.col("weight")).otherwise(0)).alias("up"),
+        F.sum(F.when(F.col("q") == 0, F.col("weight")).otherwise(0)).alias("down"),
+    )
+    scores = saved(scores, "training-scores")
+    up, down = scores.agg(F.sum("up"), F.sum("down")).first()
+    gain = (F.col("down") * F.lit(up) - F.col("up") * F.lit(down)).alias("gain")
+    ranked, _ = running_total(scores.select("score", gain), ["score"], "gain")
+    best = ranked.agg(F.max_by("score", F.struct("before", -F.col("score")))).first()[0]
+    below = scores.where(F.col("score") < best).agg(F.max("score")).first()[0]
+    return best if below is None else (best + below) / 2
+
+
+def fit(train: DataFrame, ridge: float = 1e-3, steps: int = 25):
     """Weights, centre and scale of the features, and the threshold of the score.
 
-    Newton steps on the mean logistic loss of feature differences, with a small ridge. None where
-    one of the classes has no row.
+    ``train`` has __features, q (1 good, 0 bad) and weight, the number of documents alike in these. Newton
+    steps on the mean logistic loss of feature differences, with a small ridge. None where one of the classes
+    has no row.
     """
-    if not len(good) or not len(bad):
+    rows = {r["q"]: r["n"] for r in train.groupBy("q").agg(F.count("*").alias("n")).collect()}
+    if len(rows) < 2:
         return None
-    both = np.concatenate([good, bad])
-    centre, scale = both.mean(axis=0), both.std(axis=0)
-    scale[scale == 0] = 1.0
-    good, bad = (good - centre) / scale, (bad - centre) / scale
-    draw = np.random.default_rng(seed)
-    i, j = draw.integers(len(good), size=PAIRS), draw.integers(len(bad), size=PAIRS)
-    differ = good[i] - bad[j]
-    weights = np.zeros(differ.shape[1])
+    f = len(FEATURES)
+    larger = max(rows, key=lambda q: (rows[q], q))
+    n, m = -(-rows[larger] // GROUP), -(-rows[1 - larger] // GROUP)
+    groups = _dealt(train, larger, n, m)
+    sums = _sums(groups, _moments(np.zeros(f), m), 1 + 2 * f)
+    centre = sums[1 : 1 + f] / sums[0]
+    scale = np.sqrt(_sums(groups, _moments(centre, m), 1 + 2 * f)[1 + f :] / sums[0])
+    scale[scale < 1e-9] = 1.0
+    weights = np.zeros(f)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(differ @ weights, -30, 30)))
-        slope = differ.T @ (p - 1) / len(differ) + ridge * weights
-        curve = (differ * (p * (1 - p))[:, None]).T @ differ / len(differ)
-        move = np.linalg.solve(curve + ridge * np.eye(len(weights)), slope)
+        step = _slope_and_curve(weights, centre, scale, 1 if larger else -1)
+        sums = _sums(groups, step, 1 + f + f * f)
+        slope = sums[1 : 1 + f] / sums[0] + ridge * weights
+        curve = sums[1 + f :].reshape(f, f) / sums[0]
+        move = np.linalg.solve(curve + ridge * np.eye(f), slope)
         weights -= move * min(1.0, 2.0 / max(1e-12, np.abs(move).max()))
         if np.abs(move).max() < 1e-6:
             break
-    up, down = np.sort(good @ weights), np.sort(bad @ weights)
-    everything = np.sort(np.concatenate([up, down]))
-    share = np.arange(1, 1000) / 1000
-    cuts = np.quantile(everything, share)
-    right = 1 - np.searchsorted(up, cuts) / len(up) + np.searchsorted(down, cuts) / len(down)
-    best = np.flatnonzero(right >= right.max() - 1e-9)
-    cut = float(np.median(cuts[best]))
-    return weights, centre, scale, cut
-
-
-def _sampled(rows: DataFrame, id_col: str, seed: int) -> np.ndarray:
-    """Features of about ``SAMPLE`` rows at most, by a hash of the id."""
-    share = min(1.0, SAMPLE / max(1, rows.count()))
-    drawn = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
-    found = rows.where(drawn).select(id_col, "__features").toPandas()
-    found = found.sort_values(id_col, kind="stable")
-    return np.array(found["__features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
+    return weights, centre, scale, _threshold(train, _linear(weights, centre, scale))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -162,18 +259,13 @@ def scored(
         .where(F.col("q") == F.col("most"))
         .select(id_col, "q")
     )
-    train = saved(
-        rows.where(~held_out(id_col)).select(id_col, "__features").join(known, id_col), "train"
-    )
-    model = fit(*[_sampled(train.where(F.col("q") == q), id_col, 5).copy() for q in (1, 0)])
+    alike = rows.where(~held_out(id_col)).join(known, id_col).groupBy("q", "__features")
+    model = fit(saved(alike.agg(F.count("*").alias("weight")), "train"))
     if model is None:
         score = F.lit(CUT)
     else:
         weights, centre, scale, cut = model
-        total = -float(cut) - float(weights @ (centre / scale))
-        linear = F.lit(total)
-        for k, w in enumerate(weights / scale):
-            linear = linear + F.col("__features")[k] * float(w)
+        linear = _linear(weights, centre, scale) - float(cut)
         score = 1 / (1 + F.exp(-(linear + math.log(CUT / (1 - CUT)))))
     out = rows.withColumns({"held_out": held_out(id_col), "score": score}).drop("__features")
     return out.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
