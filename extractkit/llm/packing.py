@@ -15,7 +15,9 @@ group are left partly empty.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -64,14 +66,41 @@ def pieces(
     return docs.select(id_col, text_col).mapInArrow(run, shape)
 
 
+def _tightest(lengths: list[int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best fit by tokens: open bins by the room left, in each room the earliest opened first."""
+    chosen, offset, opened = [], [], 0
+    rooms: list[int] = []
+    bins: dict[int, list[int]] = {}
+    for length in lengths:
+        at = bisect_left(rooms, length)
+        if at < len(rooms):
+            room = rooms[at]
+            bin_ = heappop(bins[room])
+            if not bins[room]:
+                del rooms[at], bins[room]
+        else:
+            room, bin_, opened = most, opened, opened + 1
+        chosen.append(bin_)
+        offset.append(most - room)
+        left = room - length
+        if left > 0:
+            if left not in bins:
+                insort(rooms, left)
+            heappush(bins.setdefault(left, []), bin_)
+    return np.array(chosen, dtype=np.int64), np.array(offset, dtype=np.int64)
+
+
 def best_fit(
     lengths: np.ndarray, capacity: tuple, weights: tuple = (1.0, 0.01, 0.01), rule: str = "norm"
 ) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each length; ``lengths`` must be in decreasing order.
 
     ``capacity`` is (tokens, pieces, attention cost); None is no limit. A piece that exceeds a
-    capacity on its own gets a bin of its own.
+    capacity on its own gets a bin of its own. Where only tokens are limited, the smallest norm is the least
+    room left, which is looked up.
     """
+    if rule == "norm" and capacity[0] is not None and capacity[1] is None and capacity[2] is None:
+        return _tightest(lengths.tolist(), capacity[0])
     demand = np.stack([lengths, np.ones(len(lengths)), lengths.astype(float) ** 2], axis=1)
     limit = np.array([np.inf if c is None else c for c in capacity], dtype=float)
     scale = np.where(np.isinf(limit), 0.0, 1 / np.where(np.isinf(limit), 1.0, limit))

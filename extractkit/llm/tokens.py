@@ -8,20 +8,56 @@ of the vocabulary's special tokens between them, whose id shows where each word
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
-
-from extractkit.llm.textscan import groups
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words and their characters kept between batches.
 CACHED_WORDS, CACHED_CHARS = 1_000_000, 32_000_000
 #: New words joined to one text for the library.
 JOINED = 100
+#: Characters of text split at once.
+SPLIT_CHARS = 4 << 20
 #: Id appended to each document.
 END = 1
 
+#: The rules of a vocabulary whose plain words are cut into pieces here.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {
+                    "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+                },
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: Suffix of the last token of a piece.
+LAST = "</w>"
+#: Plain words: no apostrophe, which has rules of its own, and no mark of a special token.
+_PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+").fullmatch
+_ALL_PLAIN = re.compile("[\n!-&(-;=-~À-ÖØ-öø-ÿ]*").fullmatch
+_PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n")
+
 
 class Encoder:
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -40,12 +76,64 @@ class Encoder:
             ),
             None,
         )
+        self.merges = self._merges(path)
         self._clear()
 
+    def _merges(self, path: str):
+        """A tokenizer of the vocabulary's merges alone, where its rules are ``RULES``; else None.
+
+        Its texts are pieces in lower case with a space after each.
+        """
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        model = rules["model"]
+        suffix = model.get("end_of_word_suffix")
+        if {k: rules.get(k) for k in RULES} != RULES or model["type"] != "BPE" or suffix != LAST:
+            return None
+        if any("<" not in token for token in self.added) or model.get("dropout"):
+            return None
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        made = Tokenizer.from_file(path)
+        made.normalizer = normalizers.Sequence([])
+        bytes_ = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.wide = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), bytes_])
+        self.ascii = pre_tokenizers.CharDelimiterSplit(" ")
+        self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+        self.ends[[k for token, k in model["vocab"].items() if token.endswith(LAST)]] = True
+        return made
+
+    def _merged(self, pieces: list[str], cut) -> tuple[np.ndarray, np.ndarray] | None:
+        """Numbers of ids and the ids of pieces, after ``cut`` at spaces; None if ends don't tell pieces apart."""
+        self.merges.pre_tokenizer = cut
+        texts = [" ".join(pieces[i : i + 1000]) for i in range(0, len(pieces), 1000)]
+        coded = self.merges.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.concatenate([np.empty(0, np.uint32), *[np.array(c.ids, dtype=np.uint32) for c in coded]])
+        ends = np.flatnonzero(self.ends[flat])
+        return (np.diff(ends, prepend=-1), flat) if len(ends) == len(pieces) else None
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Numbers of ids and the ids of plain words, by their distinct pieces."""
+        pieces = _PIECE.findall("\n".join(words).lower())
+        distinct = set(pieces)
+        distinct.discard("\n")
+        sides = [x for x in distinct if x.isascii()], [x for x in distinct if not x.isascii()]
+        made = [self._merged(x, cut) for x, cut in zip(sides, (self.ascii, self.wide), strict=True)]
+        if None in made:
+            return None
+        size = np.concatenate([*[n for n, _ in made], [0]])
+        flat = np.concatenate([ids for _, ids in made])
+        number = dict(zip([*sides[0], *sides[1], "\n"], range(len(size)), strict=True))
+        at = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        n = size[at]
+        ends = np.cumsum(n)
+        breaks = ends[at == len(size) - 1]
+        return np.diff(breaks, prepend=0, append=ends[-1]), _gathered(flat, size, at)
+
     def _clear(self) -> None:
-        self.number: dict[str | None, int] = {None: 0}
-        self.size, self.flat = np.ones(1, dtype=np.int64), np.array([END], dtype=np.uint32)
-        self.first = np.zeros(1, dtype=np.int64)
+        self.number: dict[str, int] = {}
+        self.size, self.flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        self.first = np.zeros(0, dtype=np.int64)
         self.chars = 0
 
     def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,12 +164,18 @@ class Encoder:
                     bounds = np.concatenate([[-1], ends, [len(ids)]])
                     yield np.diff(bounds) - 1, ids[~is_mark]
 
-    def _learn(self, words: set[str]) -> None:
-        new = sorted(w for w in words if w not in self.number)
-        if not new:
-            return
-        sizes, flats = zip(*self._coded(new), strict=True)
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+    def _learn(self, new: list[str]) -> None:
+        plain, other = [], new
+        if self.merges is not None:
+            plain, other = new, []
+            if not _ALL_PLAIN("\n".join(new)):
+                plain, other = [w for w in new if _PLAIN(w)], [w for w in new if not _PLAIN(w)]
+        made = self._plain(plain) if plain else None
+        if made is None:
+            plain, other = [], new
+        sizes, flats = zip(*[made] * bool(plain), *self._coded(other), strict=True)
+        at = len(self.number)
+        self.number.update(zip([*plain, *other], range(at, at + len(new)), strict=True))
         self.size = np.concatenate([self.size, *sizes])
         self.flat = np.concatenate([self.flat, *flats])
         self.first = np.cumsum(self.size) - self.size
@@ -89,18 +183,37 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text in turn, with the end id; null is empty."""
-        for a, b in groups(texts := [t or "" for t in texts]):
-            split = []
-            for text in texts[a:b]:
-                for c in "\t\n\x0b\x0c\r":
-                    text = text.replace(c, " ")
-                split.append([*text.split(" "), None])
-            if len(self.number) > self.cached or self.chars > CACHED_CHARS:
-                self._clear()
-            self._learn(set().union(*split))
-            for words in split:
-                at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-                n = self.size[at]
-                ends = np.cumsum(n)
-                place = np.arange(ends[-1]) + np.repeat(self.first[at] - (ends - n), n)
-                yield self.flat[place]
+        texts = [t or "" for t in texts]
+        at = 0
+        while at < len(texts):
+            first, total = at, 0
+            while at < len(texts) and (at == first or total + len(texts[at]) <= SPLIT_CHARS):
+                total += len(texts[at])
+                at += 1
+            yield from self._encoded(texts[first:at])
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        met = split.flatten().dictionary_encode()
+        words = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.number) > self.cached or self.chars > CACHED_CHARS:
+            self._clear()
+        known = [*map(self.number.get, words)]
+        if new := [w for w, k in zip(words, known, strict=True) if k is None]:
+            self._learn(new)
+            known = [self.number[w] if k is None else k for w, k in zip(words, known, strict=True)]
+        place = np.array(known, dtype=np.int64)[met.indices.to_numpy()]
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        ids = _gathered(self.flat, self.size, place, self.first)
+        ends = np.concatenate([[0], np.cumsum(self.size[place])])[bounds]
+        for a, b in zip(ends, ends[1:], strict=False):
+            yield np.append(ids[a:b], np.uint32(END))
+
+
+def _gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
+    """The ids of the words with the numbers ``at``, one after the other."""
+    if first is None:
+        first = np.cumsum(size) - size
+    n = size[at]
+    ends = np.cumsum(n)
+    return flat[np.arange(n.sum()) + np.repeat(first[at] - (ends - n), n)]
