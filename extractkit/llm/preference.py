@@ -250,8 +250,10 @@ def scored(
     label of either class every score is 0.7. Rows are scored each, repeated ones alike; null and
     empty texts have zeros as features. Other columns stay; those of the three names are replaced.
     """
-    rows = docs.drop("held_out", "score", "predicted")
-    rows = saved(featured(rows, text_col), "features")
+    docs = docs.drop("held_out", "score", "predicted")
+    rows = learnt = saved(featured(docs.select(id_col, text_col), text_col), "features")
+    if len(docs.columns) > 2:
+        rows = featured(docs, text_col)  # once more, rather than have whole rows written with them
     known = (
         labels.where(F.col("quality").isin(0, 1))
         .groupBy(id_col)
@@ -259,7 +261,7 @@ def scored(
         .where(F.col("q") == F.col("most"))
         .select(id_col, "q")
     )
-    alike = rows.where(~held_out(id_col)).join(known, id_col).groupBy("q", "__features")
+    alike = learnt.where(~held_out(id_col)).join(known, id_col).groupBy("q", "__features")
     model = fit(saved(alike.agg(F.count("*").alias("weight")), "train"))
     if model is None:
         score = F.lit(CUT)
