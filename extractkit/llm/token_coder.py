@@ -1,21 +1,21 @@
 """Adaptive context-mixing range coder for blocks of token ids.
 
 A chunk of ids is cut into blocks of ``BLOCK``; every block has its own model, coder and checksum, so
-each can be read alone. All blocks of a chunk are coded in step with each other, one id of each at a
-time, as numpy vectors.
+each can be read alone, with the chunk's table of shares. All blocks of a chunk are coded in step with
+each other, one id of each at a time, as numpy vectors.
 
 For each id, in its block:
 
 - The order-2 and order-1 models remember the id that last followed the last two ids, and the last
-  one, with a count of how often that held. "Is it the order-2 id" is coded as a bit, and if not, "is
-  it the order-1 id".
-- The probability of such a bit mixes the estimates of both models, each adaptive by its count and by
-  whether the models agree, in the logistic domain with weights that are learnt on the way.
-- Other ids are coded by the order-0 model: four hex digits, each with adaptive frequencies given the
-  digit before. They start from a rule: the share of an id falls with its number.
+  one, with a count of how often that held.
+- The order-0 model has the share of each id in the chunk, which is written before the blocks.
+- The probability of an id is a mixture of the three: ``a`` for the order-2 id, ``(1 - a) * b`` for the
+  order-1 id and the rest for the order-0 model. The weights ``a`` and ``b`` are learnt on the way, for each
+  pair of counts and for whether the two models agree.
 
-All arithmetic is on integers, so that reading follows writing exactly. The coder is carry-less with
-64-bit state, 16-bit frequencies and 32-bit output words.
+An id is one step of the coder. Places and sizes are whole numbers below 2 ** 53 in float64, where sums, products
+and roundings give the same everywhere, so that reading follows writing exactly. Ranges have 48 bits; words of
+16 bits are put out, with carries added at the end.
 
 Ids are below 65,536.
 """
@@ -28,194 +28,210 @@ import zlib
 import numpy as np
 
 #: Ids in a block; slots of the order-1 and order-2 models.
-BLOCK, SLOTS = 2048, 1024
-MAGIC = b"IDC1"
+BLOCK, SLOTS = 1024, 512
+MAGIC = b"IDC2"
 ONE = 1 << 16
-_LEAST = np.uint64(1 << 28)
-_LOW32 = np.uint64(0xFFFFFFFF)
-_S16, _S32 = np.uint64(16), np.uint64(32)
-
-#: Tables made once per worker task.
-_MADE: dict = {}
-
-
-def _tables():
-    if not _MADE:
-        p = (np.arange(4096) + 0.5) / 4096
-        stretch = np.round(np.log(p / (1 - p)) * 256).astype(np.int64)
-        x = np.arange(-2047, 2048) / 256
-        squash = np.clip(np.round(ONE / (1 + np.exp(-x))), 64, ONE - 64).astype(np.int64)
-        # digit frequencies where the share of id k is in proportion to 1 / (k + 64)
-        share = 1.0 / (np.arange(ONE) + 64)
-        share[49_408:] = 1e-9
-        digits = [share.reshape(16, -1).sum(axis=1)[None]]
-        digits.append(share.reshape(16, 16, -1).sum(axis=2))
-        digits.append(share.reshape(16, 16, 16, 16).sum(axis=(0, 3)))
-        digits.append(share.reshape(16, 16, 16, 16).sum(axis=(0, 1)))
-        rows = np.concatenate(digits)
-        step = np.maximum(64, rows / rows.sum(axis=1, keepdims=True) * (ONE - 2048)).astype(np.int64)
-        start = np.zeros((len(rows), 17), dtype=np.int32)
-        start[:, 1:] = np.cumsum(step, axis=1)
-        start[:, 1:] = start[:, 1:] * ((ONE - 16) / start[:, -1:]) + np.arange(1, 17)
-        start[:, 16] = ONE
-        k = np.arange(17)
-        target = np.where(k[None] > np.arange(16)[:, None], ONE - 16 + k, k).astype(np.int32)
-        _MADE.update(stretch=stretch, squash=squash, start=start, target=target)
-    return _MADE
+#: Sum of the shares of the order-0 model.
+SHARES = 1 << 18
+#: Counts of the order-1 and order-2 models end here.
+MOST = 3
+#: Weights move to these, by ``RATE`` of the way.
+NEVER, ALWAYS, RATE = 1 / 1024, 127 / 128, 1 / 16
+#: Weights at the start, by count.
+_START = np.array([0.04, 0.3, 0.5, 0.7])
+# the next count by the former one plus 1, where the id was the one told; else it falls outside
+_AFTER = np.array([0, *np.minimum(np.arange(MOST + 1) + 1, MOST), 0])
+# cells of models that agree come after the others: both numbers differ in the count alone
+_AGREE = np.array([16] * 4 + [0])
+_SECOND = np.array([1, 2])
+# by model that had the id: what a weight keeps and where it moves
+_MOVE2 = RATE * np.array([ALWAYS, NEVER, NEVER])
+_KEEP1, _MOVE1 = np.array([1, 1 - RATE, 1 - RATE]), RATE * np.array([0, ALWAYS, NEVER])
+_LEAST, _TOP = float(1 << 32), float(1 << 48)
+
+
+class _Shares:
+    """The order-0 model: share of each id, those before it, and the id of each place."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray):
+        self.ids, self.given = ids, size
+        self.size, self.first = np.ones(ONE), np.zeros(ONE)
+        self.size[ids] = size
+        self.first[ids] = np.cumsum(size) - size
+        self.at = np.repeat(ids, size).astype(np.uint16)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> _Shares:
+        counts = np.bincount(ids, minlength=1)
+        met = np.flatnonzero(counts)
+        size = 1 + counts[met] * (SHARES - len(met)) // len(ids)
+        size[np.argmax(size)] += SHARES - size.sum()
+        return cls(met, size)
+
+    def packed(self) -> bytes:
+        gaps = np.diff(self.ids, prepend=0).astype("<u2").tobytes()
+        return zlib.compress(gaps + self.given.astype("<u4").tobytes())
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> _Shares:
+        try:
+            raw = zlib.decompress(data)
+        except zlib.error as wrong:
+            raise ValueError("damaged table of shares") from wrong
+        n = len(raw) // 6
+        ids = np.cumsum(np.frombuffer(raw, "<u2", n).astype(np.int64))
+        size = np.frombuffer(raw, "<u4", n, 2 * n).astype(np.int64)
+        if len(raw) % 6 or size.sum() != SHARES or ids[-1] >= ONE:
+            raise ValueError("damaged table of shares")
+        return cls(ids, size)
 
 
 class _Writer:
-    def __init__(self, lanes: int):
-        self.low = np.zeros(lanes, dtype=np.uint64)
-        self.range = np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-        self.lanes, self.words = [], []
-
-    def _code(self, at, first, freq):
-        r = self.range[at] >> _S16
-        low = self.low[at] + r * first.astype(np.uint64)
-        size = r * freq.astype(np.uint64)
-        self.low[at], self.range[at] = low, size
-        small = np.flatnonzero(size < _LEAST)
-        if len(small):
-            out, low, size = at[small], low[small], size[small]
-            cross = (low ^ (low + size)) >> _S32 != 0
-            size = np.where(cross, (~low & _LOW32) + np.uint64(1), size)
-            self.lanes.append(out)
-            self.words.append((low >> _S32).astype(np.uint32))
-            self.low[out], self.range[out] = low << _S32, size << _S32
-
-    def bit(self, at, p, yes):
-        self._code(at, np.where(yes, 0, p), np.where(yes, p, ONE - p))
-        return yes
-
-    def digit(self, at, cdf, digit):
-        row = np.arange(len(at))
-        first = cdf[row, digit]
-        self._code(at, first, cdf[row, digit + 1] - first)
-        return digit
+    """Puts out words of each block; a word may hold a carry until the end."""
+
+    def __init__(self, lanes: int, most: int):
+        self.low, self.range = np.zeros(lanes), np.full(lanes, _TOP)
+        self.width = 2 * most + 4
+        self.words = np.zeros(lanes * self.width, dtype=np.int32)
+        self.begin = np.arange(lanes) * self.width
+        self.next = self.begin.copy()
+
+    def take(self, n: int, lo: np.ndarray, size: np.ndarray) -> None:
+        self.low[:n] += lo
+        self.range[:n] = size
+        due = np.flatnonzero(size < _LEAST)
+        while len(due):
+            size = self.range.take(due) * ONE
+            self.range[due] = size
+            self._shift(due)
+            due = due[size < _LEAST]
+
+    def _shift(self, due: np.ndarray) -> None:
+        """The top words of these blocks go out."""
+        low, at = self.low.take(due), self.next.take(due)
+        word = np.floor(low * (1 / _LEAST))
+        self.words[at] = word.astype(np.int32)
+        self.next[due] = at + 1
+        self.low[due] = (low - word * _LEAST) * ONE
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """Words of all blocks, block after block, and their number per block."""
         n = len(self.low)
-        every = np.arange(n)
-        self.lanes += [every, every]
-        self.words += [(self.low >> _S32).astype(np.uint32), (self.low & _LOW32).astype(np.uint32)]
-        lanes = np.concatenate(self.lanes)
-        order = np.argsort(lanes, kind="stable")
-        return np.concatenate(self.words)[order], np.bincount(lanes, minlength=n)
+        for _ in range(3):
+            self._shift(np.arange(n))
+        lengths = self.next - self.begin
+        words = self.words.reshape(n, -1)[np.arange(self.width) < lengths[:, None]]
+        while len(over := np.flatnonzero(words >= ONE)):
+            words[over - 1] += words[over] >> 16
+            words[over] &= ONE - 1
+        return words, lengths
 
 
 class _Reader:
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
-        self.low = np.zeros(len(counts), dtype=np.uint64)
-        self.range = np.full(len(counts), (1 << 64) - 1, dtype=np.uint64)
-        self.words = words.astype(np.uint64)
-        first = np.cumsum(counts) - counts
-        self.code = self.words[first] << _S32 | self.words[first + 1]
-        self.next = first + 2
-
-    def _value(self, at):
-        r = self.range[at] >> _S16
-        return r, np.minimum((self.code[at] - self.low[at]) // r, np.uint64(ONE - 1)).astype(np.int64)
-
-    def _take(self, at, r, first, freq):
-        low = self.low[at] + r * first.astype(np.uint64)
-        size = r * freq.astype(np.uint64)
-        self.low[at], self.range[at] = low, size
-        small = np.flatnonzero(size < _LEAST)
-        if len(small):
-            out, low, size = at[small], low[small], size[small]
-            cross = (low ^ (low + size)) >> _S32 != 0
-            size = np.where(cross, (~low & _LOW32) + np.uint64(1), size)
-            word = self.words[np.minimum(self.next[out], len(self.words) - 1)]
-            self.code[out] = self.code[out] << _S32 | word
-            self.next[out] += 1
-            self.low[out], self.range[out] = low << _S32, size << _S32
-
-    def bit(self, at, p, _):
-        r, value = self._value(at)
-        yes = value < p
-        self._take(at, r, np.where(yes, 0, p), np.where(yes, p, ONE - p))
-        return yes
-
-    def digit(self, at, cdf, _):
-        r, value = self._value(at)
-        digit = (cdf[:, 1:16] <= value[:, None]).sum(axis=1)
-        row = np.arange(len(at))
-        first = cdf[row, digit]
-        self._take(at, r, first, cdf[row, digit + 1] - first)
-        return digit
-
-
-class _Flag:
-    """A bit whose probability mixes two adaptive estimates, for each block."""
-
-    def __init__(self, lanes: int):
-        self.p = [np.full(lanes * 16, ONE // 4, dtype=np.int64) for _ in range(2)]
-        self.w = [np.full(lanes, ONE // 2, dtype=np.int64) for _ in range(2)]
-
-    def code(self, coder, at, contexts, yes):
-        made = _tables()
-        cells = [at * 16 + c for c in contexts]
-        p = [x[c] for x, c in zip(self.p, cells, strict=True)]
-        s = [made["stretch"][x >> 4] for x in p]
-        w = [x[at] for x in self.w]
-        dot = np.clip((w[0] * s[0] + w[1] * s[1]) >> 16, -2047, 2047)
-        mixed = made["squash"][dot + 2047]
-        yes = coder.bit(at, mixed, yes)
-        goal = yes.astype(np.int64) * ONE
-        miss = goal - mixed
-        for k in range(2):
-            self.p[k][cells[k]] = np.clip(p[k] + ((goal - p[k]) >> 4), 32, ONE - 32)
-            self.w[k][at] = np.clip(w[k] + ((s[k] * miss) >> 14), -(ONE << 3), ONE << 3)
-        return yes
-
-
-def _run(coder, counts: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code ids (blocks as rows), or read them; counts of ids per block must not increase."""
-    lanes, target = len(counts), _tables()["target"]
-    out = np.zeros((lanes, int(counts.max(initial=0))), dtype=np.int64)
-    guess = [np.full(lanes * SLOTS, -1, dtype=np.int64) for _ in range(2)]
-    held = [np.zeros(lanes * SLOTS, dtype=np.int64) for _ in range(2)]
-    flags = [_Flag(lanes), _Flag(lanes)]
-    rows = len(_tables()["start"])
-    cdfs = np.tile(_tables()["start"], (lanes, 1))
-    base = np.array([0, 1, 17, 33])
-    for t in range(out.shape[1]):
-        at = np.arange(int(np.searchsorted(-counts, -t)))
-        one = out[at, t - 1] if t else np.zeros(len(at), dtype=np.int64)
-        two = out[at, t - 2] if t > 1 else np.zeros(len(at), dtype=np.int64)
-        slot1 = at * SLOTS + (one * 40503 >> 4) % SLOTS
-        slot2 = at * SLOTS + ((one * 40503 + two * 60493) >> 5) % SLOTS
-        id2, n2, id1, n1 = guess[1][slot2], held[1][slot2], guess[0][slot1], held[0][slot1]
-        real = ids[at, t] if ids is not None else None
-        agree = 8 * (id1 == id2)
-        hit = flags[0].code(coder, at, (n2 + agree, n1 + agree), real == id2 if ids is not None else None)
-        now = np.where(hit, id2, 0)
-        left = np.flatnonzero(~hit & (id1 != id2))
-        if len(left):
-            yes = real[left] == id1[left] if ids is not None else None
-            yes = flags[1].code(coder, at[left], (n2[left], n1[left]), yes)
-            now[left] = np.where(yes, id1[left], 0)
-            hit[left] = yes
-        left = np.flatnonzero(~hit)
-        if len(left):
-            lane = at[left]
-            code = np.zeros(len(left), dtype=np.int64)
-            before = np.zeros(len(left), dtype=np.int64)
-            for k in range(4):
-                cell = lane * rows + base[k] + before
-                cdf = cdfs[cell]
-                digit = (real[left] >> (12 - 4 * k)) & 15 if ids is not None else None
-                before = coder.digit(lane, cdf, digit)
-                cdfs[cell] = cdf + ((target[before] - cdf) >> 5)
-                code = code * 16 + before
-            now[left] = code
-        out[at, t] = now
-        for order, slot, id_, n in ((0, slot1, id1, n1), (1, slot2, id2, n2)):
-            same = id_ == now
-            guess[order][slot] = now
-            held[order][slot] = np.where(same, np.minimum(n + 1, 7), 0)
+    def __init__(self, words: np.ndarray, lengths: np.ndarray):
+        self.words = words.astype(np.float64)
+        first = np.cumsum(lengths) - lengths
+        #: Distance of the code from the low end of the range.
+        self.code = sum(self.words[first + k] * 2.0 ** (32 - 16 * k) for k in range(3))
+        self.range = np.full(len(lengths), _TOP)
+        self.next = first + 3
+
+    def take(self, n: int, lo: np.ndarray, size: np.ndarray) -> None:
+        self.code[:n] -= lo
+        self.range[:n] = size
+        due = np.flatnonzero(size < _LEAST)
+        while len(due):
+            size = self.range.take(due) * ONE
+            self.range[due] = size
+            at = self.next.take(due)
+            self.code[due] = self.code.take(due) * ONE + self.words.take(at, mode="clip")
+            self.next[due] = at + 1
+            due = due[size < _LEAST]
+
+
+def _run(coder: _Writer | _Reader, shares: _Shares, counts: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Code ids (a row for each place in a block), or read them; counts of ids per block must not increase."""
+    lanes, steps = len(counts), int(counts.max(initial=0))
+    out = np.zeros((steps, lanes), dtype=np.uint16) if ids is None else ids
+    # the id that followed last and its count, in one number
+    told1, told2 = (np.zeros(lanes * SLOTS, dtype=np.int32) for _ in range(2))
+    kinds = 2 * len(_START) ** 2
+    weight2 = np.tile(np.repeat(_START, len(_START)), 2 * lanes)
+    weight1 = np.tile(_START, 2 * lanes * len(_START))
+    slots, cells = np.arange(lanes) * SLOTS, np.arange(lanes) * kinds
+    # which model had the id: order 2, 1 or 0, each with its row
+    rows = np.arange(lanes)
+    lows, sizes, told = np.zeros((3, lanes)), np.zeros((3, lanes)), np.zeros((3, lanes), dtype=np.int64)
+    now = before = np.zeros(lanes, dtype=np.int64)
+    here = np.searchsorted(-counts, -np.arange(steps)).tolist()
+    for t, n in enumerate(here):
+        if n < len(rows):
+            rows, slots, cells, now, before = rows[:n], slots[:n], cells[:n], now[:n], before[:n]
+            lows, sizes, told = (np.zeros((3, n), dtype=x.dtype) for x in (lows, sizes, told))
+        slot1 = now * 40503
+        slot2 = slot1 + before
+        before = now * 60493
+        slot1 >>= 4
+        slot1 &= SLOTS - 1
+        slot1 += slots
+        slot2 >>= 5
+        slot2 &= SLOTS - 1
+        slot2 += slots
+        was1, was2 = told1.take(slot1).astype(np.int64), told2.take(slot2).astype(np.int64)
+        # cell by count of order 2, count of order 1, and whether both name the same id
+        cell = was2 & 3
+        cell <<= 2
+        cell |= was1 & 3
+        cell += cells
+        cell += _AGREE.take(was1 ^ was2, mode="clip")
+        a, b = weight2.take(cell), weight1.take(cell)
+        size = coder.range[:n]
+        two = np.floor(size * a, out=sizes[0])
+        lows[1] = two
+        one = size - two
+        one *= b
+        one = np.floor(one, out=sizes[1])
+        ends = np.add(two, one, out=lows[2])
+        unit = size - ends
+        unit *= 1 / SHARES
+        np.floor(unit, out=unit)
+        np.right_shift(was2, 2, out=told[0])
+        np.right_shift(was1, 2, out=told[1])
+        if ids is None:
+            code = coder.code[:n]
+            model = (code >= two).astype(np.int64)
+            model += code >= ends
+            place = code - ends
+            place /= unit
+            told[2] = other = shares.at.take(place.astype(np.int64), mode="clip")
+            at = model * n
+            at += rows
+            now = told.take(at)
+            out[t, :n] = now
+        else:
+            now = ids[t, :n].astype(np.int64)
+            other = now
+            model = (now != told[0]).astype(np.int64)
+            model *= _SECOND.take((now != told[1]).view(np.int8))
+            at = model * n
+            at += rows
+        np.multiply(unit, shares.size.take(other), out=sizes[2])
+        unit *= shares.first.take(other)
+        lows[2] += unit
+        coder.take(n, lows.take(at), sizes.take(at))
+        a *= 1 - RATE
+        a += _MOVE2.take(model)
+        weight2[cell] = a
+        b *= _KEEP1.take(model)
+        b += _MOVE1.take(model)
+        weight1[cell] = b
+        base = now * 4
+        was1 -= base
+        was1 += 1
+        told1[slot1] = (base + _AFTER.take(was1, mode="clip")).astype(np.int32)
+        was2 -= base
+        was2 += 1
+        told2[slot2] = (base + _AFTER.take(was2, mode="clip")).astype(np.int32)
     return out
 
 
@@ -225,47 +241,53 @@ def _checks(ids: np.ndarray) -> list[int]:
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """One chunk: magic, ids, blocks, per block words and checksum, then the words."""
+    """One chunk: magic, ids, blocks, per block words and checksum, the order-0 model, then the words."""
     n = len(ids)
     if n and int(ids.max()) >= ONE:
         raise ValueError("ids must be below 65536")
     blocks = -(-n // BLOCK)
     counts = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
-    table = np.zeros(blocks * BLOCK, dtype=np.int64)
-    table[:n] = ids
-    writer = _Writer(blocks)
+    table, words, lengths = b"", np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
     if blocks:
-        _run(writer, counts, table.reshape(blocks, BLOCK))
+        shares = _Shares.of(ids)
+        table = shares.packed()
+        places = np.zeros(blocks * BLOCK, dtype=np.uint16)
+        places[:n] = ids
+        places = np.ascontiguousarray(places.reshape(blocks, BLOCK)[:, : counts[0]].T)
+        writer = _Writer(blocks, int(counts[0]))
+        _run(writer, shares, counts, places)
         words, lengths = writer.finish()
-    else:
-        words = lengths = np.empty(0, dtype=np.uint32)
-    head = struct.pack("<4sQI", MAGIC, n, blocks)
     return b"".join(
         [
-            head,
+            struct.pack("<4sQII", MAGIC, n, blocks, len(table)),
             lengths.astype("<u4").tobytes(),
             np.array(_checks(ids), dtype="<u4").tobytes(),
-            words.astype("<u4").tobytes(),
+            table,
+            words.astype("<u2").tobytes(),
         ]
     )
 
 
 def decode(chunk: bytes) -> np.ndarray:
     """The ids of a chunk; ValueError if it is damaged."""
-    if len(chunk) < 16 or chunk[:4] != MAGIC:
+    if len(chunk) < 20 or chunk[:4] != MAGIC:
         raise ValueError("not a chunk of token ids")
-    _, n, blocks = struct.unpack_from("<4sQI", chunk)
-    if blocks != -(-n // BLOCK) or len(chunk) < 16 + 8 * blocks:
+    _, n, blocks, size = struct.unpack_from("<4sQII", chunk)
+    begin = 20 + 8 * blocks + size
+    if blocks != -(-n // BLOCK) or len(chunk) < begin or (len(chunk) - begin) % 2:
         raise ValueError("damaged chunk header")
-    lengths = np.frombuffer(chunk, "<u4", blocks, 16).astype(np.int64)
-    checks = np.frombuffer(chunk, "<u4", blocks, 16 + 4 * blocks)
-    words = np.frombuffer(chunk[16 + 8 * blocks :], "<u4")
-    if lengths.sum() != len(words) or (lengths < 2).any():
+    lengths = np.frombuffer(chunk, "<u4", blocks, 20).astype(np.int64)
+    checks = np.frombuffer(chunk, "<u4", blocks, 20 + 4 * blocks)
+    words = np.frombuffer(chunk, "<u2", -1, begin) if len(chunk) > begin else np.empty(0, dtype=np.uint16)
+    if lengths.sum() != len(words) or (lengths < 3).any():
         raise ValueError("damaged chunk table")
-    counts = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     if not blocks:
         return np.empty(0, dtype=np.uint32)
-    ids = _run(_Reader(words, lengths), counts, None).ravel()[:n].astype(np.uint32)
+    counts = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
+    shares = _Shares.unpacked(chunk[begin - size : begin])
+    with np.errstate(all="ignore"):  # a damaged block may lead anywhere, and fails its checksum
+        read = _run(_Reader(words, lengths), shares, counts, None)
+    ids = read.T.ravel()[:n].astype(np.uint32)
     wrong = np.flatnonzero(np.array(_checks(ids), dtype=np.uint32) != checks)
     if len(wrong):
         raise ValueError(f"checksum of block {wrong[0]} differs")

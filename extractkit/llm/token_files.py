@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved, small_side
 from extractkit.llm.token_coder import decode, encode
-from extractkit.llm.tokens import Encoder
+from extractkit.llm.tokens import kept
 from extractkit.session import fresh_path
 
 #: Ids of whole documents gathered into one chunk; a longer document is a chunk of its own.
-CHUNK = 2 << 20
+CHUNK = 8 << 20
 
 
 def write(
@@ -35,7 +35,7 @@ def write(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = kept(tokenizer), TaskContext.get().partitionId()
         owners, parts, total, number = [], [], 0, 0
 
         def chunk() -> pa.RecordBatch:

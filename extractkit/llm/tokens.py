@@ -12,6 +12,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -198,11 +199,11 @@ class Encoder:
         words = met.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.number) > self.cached or self.chars > CACHED_CHARS:
             self._clear()
-        known = [*map(self.number.get, words)]
-        if new := [w for w, k in zip(words, known, strict=True) if k is None]:
-            self._learn(new)
-            known = [self.number[w] if k is None else k for w, k in zip(words, known, strict=True)]
-        place = np.array(known, dtype=np.int64)[met.indices.to_numpy()]
+        known = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        if len(unknown := np.flatnonzero(known < 0)):
+            self._learn(new := [words[i] for i in unknown.tolist()])
+            known[unknown] = np.fromiter(map(self.number.__getitem__, new), np.int64, len(new))
+        place = known[met.indices.to_numpy()]
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
         ids = _gathered(self.flat, self.size, place, self.first)
         ends = np.concatenate([[0], np.cumsum(self.size[place])])[bounds]
@@ -210,6 +211,18 @@ class Encoder:
             yield np.append(ids[a:b], np.uint32(END))
 
 
+#: The encoder a worker made last, by its file.
+_KEPT: dict[str, Encoder] = {}
+
+
+def kept(path: str) -> Encoder:
+    """An encoder that the worker's next tasks use again, with the words it knows."""
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = Encoder(path)
+    return _KEPT[path]
+
+
 def _gathered(flat: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray | None = None) -> np.ndarray:
     """The ids of the words with the numbers ``at``, one after the other."""
     if first is None:
