@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved
-from extractkit.llm.textscan import groups
+from extractkit.llm.textscan import groups, release, released
 
 #: Pieces and their characters kept by a task between groups of texts.
 CACHED_PIECES, CACHED_CHARS = 200_000, 16_000_000
@@ -41,6 +41,8 @@ AT_ONCE = 16
 PART = 2_000_000
 #: Links counted at once.
 COUNTED = 4_000_000
+#: Bytes of texts or links that a task gets at once.
+BATCH_BYTES = 8 << 20
 
 #: Space between visible characters; white space of any kind next to it makes it no cut.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -338,7 +340,7 @@ def aligned(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(first, second)
-        for batch in batches:
+        for batch in released(batches):
             # only the texts of one group are Python strings at a time; a range is as long as its text
             sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()
             for begin, end in groups([range(size) for size in sizes]):
@@ -352,6 +354,8 @@ def aligned(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", te
                     pa.array([pair.astype("<i4").tobytes() for pair in links], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        del aligner
+        release()
 
     shape = f"`{id_col}` {kind}, row long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
     numbered = docs.select(id_col, F.monotonically_increasing_id().alias("row"), text_col)
@@ -384,7 +388,7 @@ def pair_counts(links: DataFrame) -> DataFrame:
             columns = [pa.array(codes >> 32), pa.array(codes & 0xFFFFFFFF), pa.array(counts)]
             return pa.RecordBatch.from_arrays(columns, ["a", "b", "n"])
 
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, 256):
                 part, _ = _decoded(batch.column(0).slice(at, 256))
                 waiting.append(part)
@@ -396,10 +400,13 @@ def pair_counts(links: DataFrame) -> DataFrame:
                         yield out()
                         codes, counts = codes[:0], counts[:0]
         codes, counts = merged()
+        waiting = []
         yield out()
+        del codes, counts
+        release()
 
     parts = links.select("links").mapInArrow(run, "a long, b long, n long")
-    summed = saved(parts.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+    summed = saved(parts.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs", batch=BATCH_BYTES)
     highest = summed.groupBy("b").agg(F.max("n").alias("highest"))
     return summed.join(highest, "b").select("a", "b", "n", (F.col("n") == F.col("highest")).alias("best"))
 
@@ -419,7 +426,7 @@ def link_sums(links: DataFrame, counts: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             codes, numbers = shared.value
-            for batch in batches:
+            for batch in released(batches):
                 sums = []
                 for at in range(0, batch.num_rows, 256):
                     asked, sizes = _decoded(batch.column(1).slice(at, 256))
@@ -452,8 +459,8 @@ def digest(docs: DataFrame, first: str, second: str) -> DataFrame:
     """The contract's columns: counts, the hash of the groups' text, sums over links."""
     digested = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
     made = aligned(docs, first, second).withColumn("groups_sha256", digested).drop("groups")
-    links = saved(made, "links", "zstd")
-    sums = link_sums(links, pair_counts(links))
+    links = saved(made, "links", "zstd", BATCH_BYTES)
+    sums = saved(link_sums(links, pair_counts(links)), "sums", batch=BATCH_BYTES)
     return links.drop("links").join(sums, "row").select(
         "doc_id", *_NUMBERS, "n_best", "count_sum", "groups_sha256"
     )

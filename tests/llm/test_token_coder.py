@@ -56,8 +56,9 @@ def test_damage_raises_or_changes_no_id():
         assert (got == ids).all()
 
 
-def test_tasks_of_a_worker_share_an_encoder():
+def test_tasks_of_a_worker_share_an_encoder(monkeypatch):
     import public_tokenizers
 
+    monkeypatch.setattr(tokens, "_KEPT", {})
     path = public_tokenizers.path("word_bpe_49k.json")
     assert tokens.kept(path) is tokens.kept(path)
