@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved
 from extractkit.llm.textscan import release, released
-from extractkit.llm.tokens import CACHED_WORDS, Encoder
+from extractkit.llm.tokens import CACHED_WORDS, kept
 
 #: Pieces packed together by one task.
 GROUP = 20_000
@@ -40,7 +40,7 @@ def pieces(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, cached)
+        encoder = kept(path, cached)
         for batch in released(batches):
             owner, piece, start, length, crc = [], [], [], [], []
             for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -59,7 +59,6 @@ def pieces(
                 pa.array(crc, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "piece", "start", "length", "ids_crc32"])
-        del encoder
         release()
 
     shape = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long"
@@ -149,7 +148,7 @@ def packed(
     one end id; repeated rows are packed each; null ids stay null; an empty table gives no rows. Only
     documents of more than ``most`` ids are cut. ``documents`` and ``attention`` limit the pieces and
     the sum of squared lengths of a sequence; a piece that exceeds the latter alone stands alone.
-    ``cached`` words at most are kept by each task between batches; results do not depend on it.
+    About ``cached`` words are kept by each worker between batches and tasks; results do not depend on it.
     """
     cut = pieces(docs, tokenizer, most, id_col, text_col, cached)
     cut = saved(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")

@@ -1,9 +1,10 @@
 """Token ids of whole texts with the tokenizers library, word by word through a cache.
 
 The vocabulary drops white space and never joins across it, so a text has the ids of its words one
-after the other. Words are the runs between ASCII white space; each distinct word is encoded by the
-library once per task while the cache holds it. New words go to the library a hundred to a text, with one
-of the vocabulary's special tokens between them, whose id shows where each word ends.
+after the other. Words are the runs between ASCII white space. Plain words are cut into the pieces that the
+vocabulary never joins; each distinct piece is encoded by the library once per worker while the cache holds
+it. Other new words go to the library a hundred to a text, with one of the vocabulary's special tokens between
+them, whose id shows where each word ends.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words and their characters kept between batches.
-CACHED_WORDS, CACHED_CHARS = 1_000_000, 32_000_000
+CACHED_WORDS, CACHED_CHARS = 400_000, 32_000_000
+#: For each word that may be kept, pieces and their characters; words are soon made again from them.
+PIECES, PIECE_CHARS = 2, 40
 #: New words joined to one text for the library.
 JOINED = 100
 #: Characters of text split at once.
@@ -79,6 +82,7 @@ class Encoder:
         )
         self.merges = self._merges(path)
         self._clear()
+        self._clear_pieces()
 
     def _merges(self, path: str):
         """A tokenizer of the vocabulary's merges alone, where its rules are ``RULES``; else None.
@@ -115,26 +119,46 @@ class Encoder:
 
     def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Numbers of ids and the ids of plain words, by their distinct pieces."""
+        if len(self.piece) > PIECES * self.cached or self.piece_chars > PIECE_CHARS * self.cached:
+            self._clear_pieces()
         pieces = _PIECE.findall("\n".join(words).lower())
-        distinct = set(pieces)
-        distinct.discard("\n")
-        sides = [x for x in distinct if x.isascii()], [x for x in distinct if not x.isascii()]
+        at = np.fromiter(map(self.piece.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if len(unknown := np.flatnonzero(at < 0)):
+            new = [pieces[i] for i in unknown.tolist()]
+            if not self._learn_pieces(set(new)):
+                return None
+            at[unknown] = np.fromiter(map(self.piece.__getitem__, new), np.int64, len(new))
+        n = self.piece_size[at]
+        ends = np.cumsum(n)
+        breaks = ends[at == 0]
+        ids = _gathered(self.piece_flat, self.piece_size, at, self.piece_first)
+        return np.diff(breaks, prepend=0, append=n.sum()), ids
+
+    def _learn_pieces(self, new: set[str]) -> bool:
+        sides = [x for x in new if x.isascii()], [x for x in new if not x.isascii()]
         made = [self._merged(x, cut) for x, cut in zip(sides, (self.ascii, self.wide), strict=True)]
         if None in made:
-            return None
-        size = np.concatenate([*[n for n, _ in made], [0]])
-        flat = np.concatenate([ids for _, ids in made])
-        number = dict(zip([*sides[0], *sides[1], "\n"], range(len(size)), strict=True))
-        at = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
-        n = size[at]
-        ends = np.cumsum(n)
-        breaks = ends[at == len(size) - 1]
-        return np.diff(breaks, prepend=0, append=ends[-1]), _gathered(flat, size, at)
+            return False
+        at = len(self.piece)
+        self.piece.update(zip([*sides[0], *sides[1]], range(at, at + len(new)), strict=True))
+        self.piece_size = np.concatenate([self.piece_size, *[n for n, _ in made]])
+        self.piece_flat = np.concatenate([self.piece_flat, *[ids for _, ids in made]])
+        self.piece_first = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_chars += sum(map(len, new))
+        return True
+
+    def _clear_pieces(self) -> None:
+        # the break between words is a piece without ids
+        self.piece: dict[str, int] = {"\n": 0}
+        self.piece_size, self.piece_flat = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        self.piece_first = np.zeros(1, dtype=np.int64)
+        self.piece_chars = 0
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.size, self.flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
-        self.first = np.zeros(0, dtype=np.int64)
+        # no word has a space: that is the end of a text
+        self.number: dict[str, int] = {" ": 0}
+        self.size, self.flat = np.ones(1, dtype=np.int64), np.full(1, END, dtype=np.uint32)
+        self.first = np.zeros(1, dtype=np.int64)
         self.chars = 0
 
     def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -203,23 +227,23 @@ class Encoder:
         if len(unknown := np.flatnonzero(known < 0)):
             self._learn(new := [words[i] for i in unknown.tolist()])
             known[unknown] = np.fromiter(map(self.number.__getitem__, new), np.int64, len(new))
-        place = known[met.indices.to_numpy()]
-        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+        last = np.cumsum(pc.list_value_length(split).to_numpy())
+        place = np.insert(known[met.indices.to_numpy()], last, 0)
         ids = _gathered(self.flat, self.size, place, self.first)
-        ends = np.concatenate([[0], np.cumsum(self.size[place])])[bounds]
-        for a, b in zip(ends, ends[1:], strict=False):
-            yield np.append(ids[a:b], np.uint32(END))
+        ends = np.cumsum(self.size[place])[last + np.arange(len(last))]
+        yield from np.split(ids, ends[:-1])
 
 
 #: The encoder a worker made last, by its file.
 _KEPT: dict[str, Encoder] = {}
 
 
-def kept(path: str) -> Encoder:
-    """An encoder that the worker's next tasks use again, with the words it knows."""
+def kept(path: str, cached: int = CACHED_WORDS) -> Encoder:
+    """An encoder that the worker's next tasks use again, with the words and pieces it knows."""
     if path not in _KEPT:
         _KEPT.clear()
-        _KEPT[path] = Encoder(path)
+        _KEPT[path] = Encoder(path, cached)
+    _KEPT[path].cached = cached
     return _KEPT[path]
 
 
