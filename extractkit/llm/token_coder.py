@@ -1,8 +1,8 @@
 """Adaptive context-mixing range coder for blocks of token ids.
 
 A chunk of ids is cut into blocks of ``BLOCK``; every block has its own model, coder and checksum, so
-each can be read alone, with the chunk's table of shares. All blocks of a chunk are coded in step with
-each other, one id of each at a time, as numpy vectors.
+each can be read alone, with the chunk's table of shares. Up to ``LANES`` blocks of a chunk are coded in step
+with each other, one id of each at a time, as numpy vectors; the models of more would not stay in a core's cache.
 
 For each id, in its block:
 
@@ -29,6 +29,8 @@ import numpy as np
 
 #: Ids in a block; slots of the order-1 and order-2 models.
 BLOCK, SLOTS = 1024, 512
+#: Blocks coded together.
+LANES = 3072
 MAGIC = b"IDC2"
 ONE = 1 << 16
 #: Sum of the shares of the order-0 model.
@@ -235,6 +237,12 @@ def _run(coder: _Writer | _Reader, shares: _Shares, counts: np.ndarray, ids: np.
     return out
 
 
+def _lanes(blocks: int) -> list[tuple[int, int]]:
+    """Ranges of blocks that are coded together, about even."""
+    cuts = np.linspace(0, blocks, -(-blocks // LANES) + 1).astype(np.int64).tolist()
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
 def _checks(ids: np.ndarray) -> list[int]:
     raw = ids.astype("<u4").tobytes()
     return [zlib.crc32(raw[i : i + 4 * BLOCK]) for i in range(0, len(raw), 4 * BLOCK)]
@@ -247,16 +255,18 @@ def encode(ids: np.ndarray) -> bytes:
         raise ValueError("ids must be below 65536")
     blocks = -(-n // BLOCK)
     counts = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
-    table, words, lengths = b"", np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+    table, coded = b"", [(np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64))]
     if blocks:
         shares = _Shares.of(ids)
         table = shares.packed()
         places = np.zeros(blocks * BLOCK, dtype=np.uint16)
         places[:n] = ids
-        places = np.ascontiguousarray(places.reshape(blocks, BLOCK)[:, : counts[0]].T)
-        writer = _Writer(blocks, int(counts[0]))
-        _run(writer, shares, counts, places)
-        words, lengths = writer.finish()
+        places = places.reshape(blocks, BLOCK)
+        for a, b in _lanes(blocks):
+            writer = _Writer(b - a, int(counts[a]))
+            _run(writer, shares, counts[a:b], np.ascontiguousarray(places[a:b, : counts[a]].T))
+            coded.append(writer.finish())
+    words, lengths = map(np.concatenate, zip(*coded, strict=True))
     return b"".join(
         [
             struct.pack("<4sQII", MAGIC, n, blocks, len(table)),
@@ -285,9 +295,13 @@ def decode(chunk: bytes) -> np.ndarray:
         return np.empty(0, dtype=np.uint32)
     counts = np.minimum(BLOCK, n - BLOCK * np.arange(blocks))
     shares = _Shares.unpacked(chunk[begin - size : begin])
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    parts = []
     with np.errstate(all="ignore"):  # a damaged block may lead anywhere, and fails its checksum
-        read = _run(_Reader(words, lengths), shares, counts, None)
-    ids = read.T.ravel()[:n].astype(np.uint32)
+        for a, b in _lanes(blocks):
+            reader = _Reader(words[first[a] : first[b]], lengths[a:b])
+            parts.append(_run(reader, shares, counts[a:b], None).T.ravel())
+    ids = np.concatenate(parts)[:n].astype(np.uint32)
     wrong = np.flatnonzero(np.array(_checks(ids), dtype=np.uint32) != checks)
     if len(wrong):
         raise ValueError(f"checksum of block {wrong[0]} differs")
