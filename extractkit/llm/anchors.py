@@ -18,9 +18,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from extractkit.llm.tables import saved, small_side
-from extractkit.llm.textscan import SPACES, constants, groups, lowered, mix, word_bounds, word_class, word_hashes
+from extractkit.llm.textscan import (
+    SPACES,
+    constants,
+    groups,
+    lowered,
+    mix,
+    released,
+    word_bounds,
+    word_class,
+    word_hashes,
+)
 
 WORDS = 5
+#: Bytes of texts that a task is given at once, and those scanned at once.
+BATCH_BYTES, SCAN_BYTES = 4 << 20, 1 << 18
 _CLASS = word_class(SPACES)
 _LOW = np.uint64(0xFFFFFFFF)
 _TEXTS = "row long, id long, seen long, keys array<long>, at array<int>, start array<int>, end array<int>"
@@ -68,9 +80,9 @@ def _texts(docs: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = constants(53, part)
-        for batch in batches:
+        for batch in released(batches):
             texts = lowered(batch.column(3).to_pylist())
-            for a, b in groups(texts):
+            for a, b in groups(texts, SCAN_BYTES):
                 joined, starts, ends, text = word_bounds(texts[a:b], _CLASS)
                 hashes = word_hashes(joined, starts, ends)
                 first = places_of(hashes, text, least)
@@ -107,7 +119,7 @@ def spans(docs: DataFrame, least: int) -> DataFrame:
     """
     part = part_words(least)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "id", "seen", "text")
-    texts = saved(_texts(numbered, least), "placed", "zstd")
+    texts = saved(_texts(numbered, least), "placed", "zstd", BATCH_BYTES)
     again = (
         texts.select("row", F.explode("keys").alias("key"))
         .groupBy("key")

@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from extractkit.llm.anchors import rolled_shingles, spans
+from extractkit.llm.anchors import BATCH_BYTES, rolled_shingles, spans
 from extractkit.llm.graph import components
-from extractkit.llm.ngram_join import SETS, grouped, set_columns, spanning_links
+from extractkit.llm.ngram_join import SCAN_BYTES, SETS, grouped, set_columns, spanning_links
 from extractkit.llm.tables import saved, small_side
 from extractkit.llm.textscan import (
     SPACES,
@@ -39,6 +39,7 @@ from extractkit.llm.textscan import (
     groups,
     lowered,
     mix,
+    released,
     shingles,
     word_bounds,
     word_class,
@@ -103,10 +104,10 @@ def _scan(docs: DataFrame, least: int, whole: bool) -> DataFrame:
     """One row per paragraph of ``docs`` (id, text): places and band keys, or whole shingle sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             all_ids, all_texts = batch.column(0), batch.column(1).to_pylist()
             raw = [b"" if t is None else t.encode() for t in all_texts]
-            for a, b in groups(raw):
+            for a, b in groups(raw, SCAN_BYTES):
                 rows, places, texts = [], [], []
                 for i in range(a, b):
                     for place in cut(all_texts[i] or "", least):
@@ -152,9 +153,9 @@ def _span_rows(docs: DataFrame) -> DataFrame:
     """Rows and sets of the spans of ``docs`` (id, text, spans); ``paragraph`` is the first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts, lists = lowered(batch.column(1).to_pylist()), batch.column(2)
-            for a, b in groups(texts):
+            for a, b in groups(texts, SCAN_BYTES):
                 joined, starts, ends, text = word_bounds(texts[a:b], _CLASS)
                 rolled = rolled_shingles(word_hashes(joined, starts, ends))
                 bounds = np.searchsorted(text, np.arange(b - a + 1))
@@ -188,7 +189,7 @@ def _placed(named: DataFrame, least: int) -> DataFrame:
     listed = listed.withColumnsRenamed({"id": "own", "seen": "hash"})
     same = F.col("id").eqNullSafe(F.col("own")) & (F.col("seen") == F.col("hash"))
     held = seen.join(small_side(listed, found.count()), same)
-    return saved(_span_rows(held.select("id", "text", "spans")), "span-sets")
+    return saved(_span_rows(held.select("id", "text", "spans")), "span-sets", batch=BATCH_BYTES)
 
 
 def repeated(
@@ -211,7 +212,8 @@ def repeated(
     no rows. Other columns of ``docs`` are not read.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    lines = saved(_scan(named, least, False).withColumn("kind", F.lit("line")), "paragraphs")
+    lines = _scan(named, least, False).withColumn("kind", F.lit("line"))
+    lines = saved(lines, "paragraphs", batch=BATCH_BYTES)
     placed = _placed(named, least)
     rows = lines.unionByName(placed.select(*lines.drop("kind").columns, F.lit("span").alias("kind")))
     classes = saved(
@@ -232,7 +234,8 @@ def repeated(
     )
     from_ = named.join(small_side(sources, sources.count()), named["id"].eqNullSafe(sources["id"]), "left_semi")
     sets = _scan(from_, least, True).unionByName(placed.select("id", "size", "bits", "wide", "shingles"))
-    sets = saved(sets.join(asked, "id", "left_semi").dropDuplicates(["id"]), "shingle-sets")
+    sets = sets.join(asked, "id", "left_semi").dropDuplicates(["id"])
+    sets = saved(sets, "shingle-sets", batch=BATCH_BYTES)
     links = components(spanning_links(met, sets, percent))
     single = classes.select("d1", "d2", "rep", "n")
     cluster = single.join(links, single["rep"] == links["id"], "left").select(
