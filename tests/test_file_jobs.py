@@ -1,8 +1,11 @@
 """Jobs that begin at files: errors by line number, the first lines, prompts from a folder."""
 
 import json
+import uuid
+from urllib.parse import unquote
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from extractkit.operators import extract, validate
@@ -125,3 +128,46 @@ def test_small_files_are_read_in_few_tasks(spark, tmp_path):
     )
     assert answered.count() == 180
     assert {r.reason for r in rejected.collect()} == {"empty_narrative"} and rejected.count() == 20
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+@pytest.mark.parametrize("stored", [False, True])
+def test_narratives_are_read_in_parts(spark, tmp_path, monkeypatch, stored, keyed):
+    """The driver never plans more files than a part has; the same files are read as by Spark from the folder."""
+    monkeypatch.setattr(jsonl, "FILES_AT_ONCE", 7)
+    # a store that only Spark reads, of another name each time: it is known by it
+    spark.conf.set(f"fs.viewfs.mounttable.{(store := uuid.uuid4().hex)}.link./in", f"file://{tmp_path}")
+    (tmp_path / "template.txt").write_text("Read: {narrative_text}")
+    texts = tmp_path / "te xts"
+    unread = ["_temporary/id=9/t.txt", ".x/id=9/t.txt", "_id/t.txt", "id=9/.t.txt.crc"] if keyed else ["_t.txt", ".t.txt"]
+    unread += [] if keyed else ["deeper/t.txt", "t.txt._COPYING_"]
+    names = [f"id={i}/ü {i}%[{i}].txt" if keyed else f"ü {i}%[{i}].txt" for i in range(23)]
+    names += ["id=7/second=2/t.txt", "id=8/plain/t.txt"] if keyed else []
+    for n, name in enumerate([*names, *unread]):
+        (texts / name).parent.mkdir(parents=True, exist_ok=True)
+        (texts / name).write_text("" if n % 10 == 0 else " " if n % 10 == 1 else f"text {name}")
+    path = f"viewfs://{store}/in/te xts" if stored else f"{tmp_path}/te xts"
+    planned = []
+    monkeypatch.setattr(extract, "read_part", lambda s, part: planned.append(len(part)) or jsonl.read_part(s, part))
+    answered, rejected = extract.prompt_files(
+        spark, str(tmp_path / "template.txt"), path, lambda: lambda prompts: prompts, fresh_path(spark, "job")
+    )
+    assert planned == [7, 7, 7, len(names) - 21]
+    if not keyed:
+        read = spark.read.text(path, wholetext=True).select("_metadata.file_path", "value").collect()
+        assert {r.file: r.output for r in answered.collect()} == {f: f"Read: {v}" for f, v in read if v.strip()}
+    got = {unquote(r.file).rpartition("/te xts/")[2] for r in answered.collect()}
+    none = {unquote(r.file).rpartition("/te xts/")[2] for r in rejected.collect()}
+    assert got == {n for i, n in enumerate(names) if i % 10 > 1} and none == set(names) - got
+    assert answered.count() + rejected.count() == len(names)
+
+
+def test_no_narratives_and_no_folder(spark, tmp_path):
+    (tmp_path / "template.txt").write_text("Read: {narrative_text}")
+    (tmp_path / "texts").mkdir()
+    asked = [str(tmp_path / "template.txt"), str(tmp_path / "texts"), lambda: lambda prompts: prompts]
+    answered, rejected = extract.prompt_files(spark, *asked, fresh_path(spark, "job"))
+    assert answered.count() == 0 and rejected.count() == 0
+    asked[1] += "/none"
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        extract.prompt_files(spark, *asked, fresh_path(spark, "job"))
